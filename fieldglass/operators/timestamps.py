@@ -67,6 +67,11 @@ def parse_components(text: Column) -> Column:
     return F.when(parts[0] == "#", F.struct(*[parts[i + 1].alias(s) for i, s in enumerate(SLOTS)]))
 
 
+def bind(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once: the optimizer neither copies their expressions into later uses nor pushes filters into them."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def to_instant(df: DataFrame, text: str, zone: Column | None = None, out: str = "instant_s") -> DataFrame:
     """Adds `out`: the UTC instant of the text column in epoch seconds, null where it names none or more than one.
 
@@ -81,13 +86,13 @@ def to_instant(df: DataFrame, text: str, zone: Column | None = None, out: str =
     """
     zone = F.lit(None).cast("string") if zone is None else F.trim(zone)
     num = lambda slot: F.col(f"_ts_c.{slot}").try_cast("bigint")
-    df = df.withColumn("_ts_c", parse_components(F.when(F.length(text) <= 80, F.col(text))))
+    df = bind(df, _ts_c=parse_components(F.when(F.length(text) <= 80, F.col(text))), _ts_zone=zone)
     mon = (F.instr(F.lit("".join(MONTHS)), F.lower(F.substring(F.col("_ts_c.mon"), 1, 3))) + 2) / 3
     year = num("y") + F.when(F.length("_ts_c.y") == 2, 2000).otherwise(0)
     month = F.when(F.col("_ts_c.mon") != "", mon.cast("bigint")).otherwise(num("mo"))
     ap = F.lower(F.col("_ts_c.ap"))
     hour = F.when(ap == "", num("h")).when(num("h").between(1, 12), num("h") % 12 + F.when(ap == "p", 12).otherwise(0))
-    df = df.withColumns({"_ts_y": year, "_ts_mo": month, "_ts_d": num("d"), "_ts_h": hour, "_ts_mi": num("mi"), "_ts_s": F.coalesce(num("s"), F.lit(0))})
+    df = bind(df, **{"_ts_y": year, "_ts_mo": month, "_ts_d": num("d"), "_ts_h": hour, "_ts_mi": num("mi"), "_ts_s": F.coalesce(num("s"), F.lit(0))})
     ok = F.col("_ts_mo").between(1, 12) & F.col("_ts_d").between(1, month_length(F.col("_ts_y"), F.col("_ts_mo"))) & F.col("_ts_h").between(0, 23) & F.col("_ts_mi").between(0, 59) & F.col("_ts_s").between(0, 59)
     wall = F.when(ok, days_from_civil(F.col("_ts_y"), F.col("_ts_mo"), F.col("_ts_d")) * 86400 + F.col("_ts_h") * 3600 + F.col("_ts_mi") * 60 + F.col("_ts_s"))
 
@@ -97,12 +102,11 @@ def to_instant(df: DataFrame, text: str, zone: Column | None = None, out: str =
     own = F.when(F.col("_ts_c.z") != "", short(F.col("_ts_c.z"))).when(F.col("_ts_c.os") != "", offset(F.col("_ts_c.os"), num("oh"), num("om")))
     has_own = (F.col("_ts_c.z") != "") | (F.col("_ts_c.os") != "")
     given = F.coalesce(short(F.col("_ts_zone")), offset(z[0], z[1].try_cast("bigint"), z[2].try_cast("bigint")))
-    df = df.withColumns({"_ts_w": wall, "_ts_zone": zone})
-    df = df.withColumns({"_ts_off": F.when(has_own, own).otherwise(given), "_ts_own": has_own, "_ts_region": F.when(F.col("_ts_zone").isin(zone_names(df.sparkSession)), F.col("_ts_zone"))})
+    df = bind(df, **{"_ts_w": wall, "_ts_off": F.when(has_own, own).otherwise(given), "_ts_own": has_own, "_ts_region": F.when(F.col("_ts_zone").isin(zone_names(df.sparkSession)), F.col("_ts_zone"))})
     # A wall time in a region: the offsets in force a day before and a day after are the only candidates; one that maps back to the wall time counts.
     safe, micros = F.coalesce(F.col("_ts_region"), F.lit("UTC")), lambda c: F.timestamp_micros(c * 1_000_000)
     local = lambda utc: F.floor(F.unix_micros(F.from_utc_timestamp(micros(utc), safe)) / 1_000_000).cast("bigint")
-    df = df.withColumns({"_ts_a": F.col("_ts_w") - (local(F.col("_ts_w") - 86400) - F.col("_ts_w") + 86400), "_ts_b": F.col("_ts_w") - (local(F.col("_ts_w") + 86400) - F.col("_ts_w") - 86400)})
+    df = bind(df, **{"_ts_a": F.col("_ts_w") - (local(F.col("_ts_w") - 86400) - F.col("_ts_w") + 86400), "_ts_b": F.col("_ts_w") - (local(F.col("_ts_w") + 86400) - F.col("_ts_w") - 86400)})
     a_ok, b_ok = local(F.col("_ts_a")) == F.col("_ts_w"), local(F.col("_ts_b")) == F.col("_ts_w")
     regional = F.when(F.col("_ts_a") == F.col("_ts_b"), F.when(a_ok, F.col("_ts_a"))).when(a_ok & ~b_ok, F.col("_ts_a")).when(b_ok & ~a_ok, F.col("_ts_b"))
     instant = (
@@ -114,6 +118,29 @@ def to_instant(df: DataFrame, text: str, zone: Column | None = None, out: str =
     return df.withColumn(out, instant.cast("bigint")).drop("_ts_c", "_ts_y", "_ts_mo", "_ts_d", "_ts_h", "_ts_mi", "_ts_s", "_ts_w", "_ts_zone", "_ts_off", "_ts_own", "_ts_region", "_ts_a", "_ts_b")
 
 
+#: Calendar dates, whatever follows them.
+DATES = (
+    r"(?<y{i}>\d{{4}})-(?<mo{i}>\d{{1,2}})-(?<d{i}>\d{{1,2}})",
+    r"(?<y{i}>\d{{4}})(?<mo{i}>\d{{2}})(?<d{i}>\d{{2}})(?=t|$)",
+    r"(?<d{i}>\d{{1,2}})[./](?<mo{i}>\d{{1,2}})[./](?<y{i}>\d{{4}}|\d{{2}})",
+    r"(?:[a-z]{{3,9}}\.?,?\s+)?(?<d{i}>\d{{1,2}})\.?\s+(?<mon{i}>" + _MONTH + r")\.?,?\s+(?<y{i}>\d{{4}})",
+    r"(?:[a-z]{{3,9}}\.?,?\s+)?(?<mon{i}>" + _MONTH + r")\.?\s+(?<d{i}>\d{{1,2}}),?\s+(?<y{i}>\d{{4}})",
+)
+
+
+def calendar_day(text: Column) -> Column:
+    """Days since 1970-01-01 of the date a text begins with, zone or not; null without a valid date."""
+    slots = ("y", "mo", "mon", "d")
+    pattern = r"(?is)^\s*(?:" + "|".join(p.format(i=i) for i, p in enumerate(DATES)) + r")(?!\d).*$"
+    fill = "#|" + "|".join("".join(f"${{{slot}{i}}}" for i, p in enumerate(DATES) if f"(?<{slot}{{i}}>" in p) for slot in slots)
+    parts = F.split(F.regexp_replace(F.substring(text, 1, 80), F.lit(pattern), F.lit(fill)), r"\|")
+    y, mo, d = (F.get(parts, F.lit(i)).try_cast("bigint") for i in (1, 2, 4))
+    y = y + F.when(F.length(F.get(parts, F.lit(1))) == 2, 2000).otherwise(0)
+    name = F.get(parts, F.lit(3))
+    mo = F.when(name != "", ((F.instr(F.lit("".join(MONTHS)), F.lower(F.substring(name, 1, 3))) + 2) / 3).cast("bigint")).otherwise(mo)
+    return F.when((parts[0] == "#") & mo.between(1, 12) & d.between(1, month_length(y, mo)), days_from_civil(y, mo, d))
+
+
 def iso_text(seconds: Column) -> Column:
     """yyyy-MM-ddTHH:mm:ssZ of epoch seconds, whatever the session's time zone."""
     day = F.floor(seconds / 86400).cast("int")
