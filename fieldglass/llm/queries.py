@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldglass.functions.ids import uuid_hex, uuid_text
-from fieldglass.llm import variants
+from fieldglass.llm import linkage, variants
 from fieldglass.operators import timestamps
 from fieldglass.session import cut, table
 
@@ -44,5 +44,78 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return variants.class_pairs(classes).withColumnRenamed("scope", "country")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p7_found": p7_found}
+def competition_key(c: F.Column) -> F.Column:
+    """A competition without its country, season and spelling."""
+    c = F.lower(F.regexp_replace(c, r"^.*(?: - |: )", ""))
+    for pattern, to in ((r"\bprem\b\.?", "premier"), (r"\bdiv\b\.?", "division"), (r"\b(?:19|20)\d\d\b", ""), (r"^.*friendl.*$", "friendly"), (r"^[a-z]+ (?=(?:premier|first|second|third|reserve)\b)", ""), (r"[^a-z0-9]+", " ")):
+        c = F.regexp_replace(c, pattern, to)
+    return F.nullif(F.trim(c), F.lit(""))
+
+
+def match_records(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """One record per match id: teams, competitions, instants and days of all its deliveries."""
+    rows = with_classes(rows.withColumn("id", uuid_hex(F.col("match_id"))).filter("id is not null"), classes, ["root"])
+    rows = rows.withColumn("day", F.coalesce(F.floor(F.col("instant_s") / 86400).cast("bigint"), timestamps.calendar_day(F.col("scheduled_kickoff"))))
+    last = F.struct("updated_at", "match_row")
+    return rows.groupBy("id").agg(F.max_by("source", last).alias("source"), F.max_by("home_root", last).alias("home"), F.max_by("away_root", last).alias("away"), F.collect_set("instant_s").alias("instants"), F.collect_set("day").alias("days"), F.collect_set(competition_key(F.col("competition"))).alias("competitions"))
+
+
+def p2_links(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of a soccerstats and a forebet match id with the confidence that they record one fixture."""
+    classes, rows = team_classes(spark, d)
+    records = cut(match_records(rows, classes))
+    two = F.concat_ws("|", "home", "away")
+    teams = F.col("home").isNotNull() & F.col("away").isNotNull()
+    by_day = lambda tag, key, ok, days: F.when(ok, F.transform(days, lambda x: F.concat_ws("|", F.lit(tag), key, x.cast("string")))).otherwise(F.array())
+    around = F.array_distinct(F.flatten(F.transform("days", lambda x: F.array(x - 1, x, x + 1))))
+    dateless = F.size("days") == 0
+
+    def keys(days: F.Column, mine: str, other: str) -> F.Column:
+        return F.concat(
+            by_day("T", two, teams, days),
+            by_day("H", F.col("home"), F.col("home").isNotNull(), days),
+            by_day("A", F.col("away"), F.col("away").isNotNull(), days),
+            by_day("S", F.concat_ws("|", F.least("home", "away"), F.greatest("home", "away")), teams, days),
+            F.when(teams, F.array(F.concat_ws("|", F.lit(other), two))).otherwise(F.array()),
+            F.when(teams & dateless, F.array(F.concat_ws("|", F.lit(mine), two))).otherwise(F.array()),
+        )
+
+    left = records.filter("source = 'soccerstats'").withColumn("keys", keys(F.col("days"), "U", "V"))
+    right = records.filter("source = 'forebet'").withColumn("keys", keys(around, "V", "U"))
+    compared = compare(linkage.candidate_pairs(left, right), left, right)
+    by_chance = compare(linkage.random_pairs(left, right), left, right)
+    start = {"home": [0.04, 0.01, 0.95], "away": [0.04, 0.01, 0.95], "competition": [0.02, 0.08, 0.9], "kickoff": [0.01, 0.08, 0.1, 0.02, 0.1, 0.69]}
+    scored = linkage.score(cut(compared), by_chance, start, float(left.count()) * right.count())
+    return linkage.settle(scored.filter("confidence >= 0.5"), ["distance"])
+
+
+def compare(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Agreement levels of pairs (a, b) of match records by attribute, and how far apart their kickoffs are."""
+    for tag, side in (("a", left), ("b", right)):
+        pairs = pairs.join(side.select(F.col("id").alias(tag), *[F.col(c).alias(f"{c}_{tag}") for c in ("home", "away", "instants", "days", "competitions")]), tag)
+    gaps = lambda x: F.array_min(F.flatten(F.transform(f"{x}_a", lambda p: F.transform(f"{x}_b", lambda q: F.abs(p - q)))))
+    pairs = timestamps.bind(pairs, gap=gaps("instants"), days_apart=gaps("days"))
+    swapped = (F.col("home_a") == F.col("away_b")) & (F.col("away_a") == F.col("home_b"))
+    same = lambda s: F.when(F.col(f"{s}_a") == F.col(f"{s}_b"), 2).when(swapped, 1).otherwise(0)
+    return pairs.select(
+        "a", "b",
+        same("home").alias("home"), same("away").alias("away"),
+        F.when((F.size("competitions_a") == 0) | (F.size("competitions_b") == 0), 1).when(F.arrays_overlap("competitions_a", "competitions_b"), 2).otherwise(0).alias("competition"),
+        F.when(F.col("gap") <= 300, 5).when(F.col("gap") <= 7200, 4).when(F.col("gap") == 86400, 3).when(F.col("gap").isNotNull(), 0).when(F.col("days_apart") <= 1, 2).when(F.col("days_apart").isNotNull(), 0).otherwise(1).alias("kickoff"),
+        F.coalesce("gap", F.col("days_apart") * 86400 + 43200, F.lit(10**9)).alias("distance"),
+    )
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    links = p2_links(spark, d)
+    return links.select(uuid_text(F.least("a", "b")).alias("match_id_a"), uuid_text(F.greatest("a", "b")).alias("match_id_b"))
+
+
+def p2_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of p2_found with their confidence."""
+    links = p2_links(spark, d)
+    return links.select(uuid_text(F.least("a", "b")).alias("match_id_a"), uuid_text(F.greatest("a", "b")).alias("match_id_b"), F.round("confidence", 6).alias("confidence"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p7_found": p7_found}
 SQL: dict[str, str] = {}
