@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldglass.functions.ids import uuid_hex, uuid_text
-from fieldglass.llm import linkage, variants
+from fieldglass.llm import leakage, linkage, survivors, variants
 from fieldglass.operators import timestamps
 from fieldglass.session import cut, table
 
@@ -117,5 +117,55 @@ def p2_confidence(spark: SparkSession, d: str) -> DataFrame:
     return links.select(uuid_text(F.least("a", "b")).alias("match_id_a"), uuid_text(F.greatest("a", "b")).alias("match_id_b"), F.round("confidence", 6).alias("confidence"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p7_found": p7_found}
-SQL: dict[str, str] = {}
+SCOPES = ("home_away", "all_games", "last_8")
+TRUST = {"pre-match": 3, "live": 2, "finished": 1}
+
+
+def feature_groups(spark: SparkSession, d: str) -> DataFrame:
+    scope = F.regexp_replace(F.lower(F.regexp_replace(F.col("feature_scope"), r"^[\s\u00a0]+|[\s\u00a0]+$", "")), r"[\s\u00a0\-_]+", "_")
+    df = table(spark, d, "features").withColumn("scope", scope).withColumn("id", uuid_hex(F.col("match_id")))
+    return df.filter(F.col("scope").isin(*SCOPES) & F.col("id").isNotNull())
+
+
+def bounded(c: str, low: float, high: float | None = None) -> F.Column:
+    ok = ~F.isnan(F.col(c).cast("double")) & (F.col(c) >= low)
+    return F.when(ok if high is None else ok & (F.col(c) <= high), F.col(c))
+
+
+def source_trust() -> F.Column:
+    status = F.lower(F.trim("source_status"))
+    return F.coalesce(*[F.when(status == k, v) for k, v in TRUST.items()], F.lit(0))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    fields = {"home_ppg": bounded("home_ppg", 0, 3), "sample_size_home": bounded("sample_size_home", 0)}
+    best = survivors.survivors(feature_groups(spark, d), ["id", "scope"], fields, trust=source_trust(), at_us=F.unix_micros(F.col("collected_at").cast("timestamp")), row="feature_row", least_rows=2)
+    return best.select(uuid_text(F.col("id")).alias("match_id"), F.col("scope").alias("feature_scope"), F.coalesce("home_ppg_row", F.lit(0)).cast("bigint").alias("ppg_feature_row"), F.coalesce("sample_size_home_row", F.lit(0)).cast("bigint").alias("sample_feature_row"))
+
+
+def p5_golden(spark: SparkSession, d: str) -> DataFrame:
+    """One row per match and scope by weighted votes: trust times a half-life of three days, summed per value."""
+    fields = {"home_ppg": bounded("home_ppg", 0, 3), "away_ppg": bounded("away_ppg", 0, 3), "sample_size_home": bounded("sample_size_home", 0), "sample_size_away": bounded("sample_size_away", 0)}
+    best = survivors.survivors(feature_groups(spark, d), ["id", "scope"], fields, trust=source_trust() + 1, at_us=F.unix_micros(F.col("collected_at").cast("timestamp")), row="feature_row", half_life_days=3.0)
+    return best.select(uuid_text(F.col("id")).alias("match_id"), F.col("scope").alias("feature_scope"), "n_rows", *[F.col(f).cast("double").alias(f) for f in fields])
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p5_found": p5_found, "p5_golden": p5_golden, "p7_found": p7_found, "p9_found": p9_found}
+_HEX = "regexp_extract(lower(regexp_replace(match_id, '^[\\s{}]+|[\\s{}]+$|-', '', 'g')), '^[0-9a-f]{32}$')"
+_FEATURES = f"""
+f AS (SELECT *, {_HEX} AS id, regexp_replace(lower(trim(feature_scope)), '[\\s\\-_]+', '_', 'g') AS scope,
+  CASE lower(trim(source_status)) WHEN 'pre-match' THEN 3 WHEN 'live' THEN 2 WHEN 'finished' THEN 1 ELSE 0 END AS trust FROM features),
+g AS (SELECT * FROM f WHERE id <> '' AND scope IN ('home_away', 'all_games', 'last_8'))"""
+_TEXT_ID = "regexp_replace(id, '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5')"
+SQL: dict[str, str] = {
+    "p5_found": f"""
+WITH {_FEATURES}
+SELECT {_TEXT_ID} AS match_id, scope AS feature_scope,
+  coalesce(arg_max(feature_row, (trust, collected_at, -feature_row)) FILTER (WHERE NOT isnan(home_ppg) AND home_ppg BETWEEN 0 AND 3), 0) AS ppg_feature_row,
+  coalesce(arg_max(feature_row, (trust, collected_at, -feature_row)) FILTER (WHERE sample_size_home >= 0), 0) AS sample_feature_row
+FROM g GROUP BY id, scope HAVING count(*) >= 2""",
+}
