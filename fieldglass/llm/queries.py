@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldglass.functions.ids import uuid_hex, uuid_text
-from fieldglass.llm import leakage, linkage, survivors, variants
+from fieldglass.llm import leakage, linkage, packing, splitting, survivors, variants
 from fieldglass.operators import timestamps
 from fieldglass.session import cut, table
 
@@ -154,7 +154,31 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p5_found": p5_found, "p5_golden": p5_golden, "p7_found": p7_found, "p9_found": p9_found}
+def limits_of(spark: SparkSession, d: str, purpose: str) -> list[tuple[int, int, int]]:
+    """(limit_id, max_tokens, overlap_tokens) of a purpose; the table is a handful of settings."""
+    rows = table(spark, d, "size_limits").filter(F.col("purpose") == purpose).select("limit_id", "max_tokens", "overlap_tokens").collect()
+    return sorted((r.limit_id, r.max_tokens, r.overlap_tokens or 0) for r in rows)
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's container for each pack capacity."""
+    sizes = cut(packing.token_counts(table(spark, d, "documents"), "doc_id", "text"))
+    return packing.pack(sizes, [(i, n) for i, n, _ in limits_of(spark, d, "pack")])
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers and the share of room used by capacity."""
+    filled = p8_containers(spark, d).groupBy("limit_id", "container").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("items"))
+    capacity = table(spark, d, "size_limits").select("limit_id", F.col("max_tokens").cast("bigint").alias("capacity"))
+    return filled.join(capacity, "limit_id").groupBy("limit_id", "capacity").agg(F.count(F.lit(1)).alias("containers"), F.sum("items").alias("items"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest")).withColumn("fill", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity")), 6))
+
+
+def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of documents over each split limit."""
+    return splitting.split(table(spark, d, "documents"), limits_of(spark, d, "split"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p5_found": p5_found, "p5_golden": p5_golden, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_pieces": p10_pieces}
 _HEX = "regexp_extract(lower(regexp_replace(match_id, '^[\\s{}]+|[\\s{}]+$|-', '', 'g')), '^[0-9a-f]{32}$')"
 _FEATURES = f"""
 f AS (SELECT *, {_HEX} AS id, regexp_replace(lower(trim(feature_scope)), '[\\s\\-_]+', '_', 'g') AS scope,
