@@ -16,7 +16,7 @@ from fieldglass.session import cut, table
 def team_classes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(classes, rows): names of matches by country with the team they mean (`root`), and the match rows with instants."""
     matches = table(spark, d, "matches").withColumn("source", F.element_at(F.map_keys("source_urls"), 1))
-    rows = timestamps.to_instant(matches.select("match_id", "source", "country", "home_team", "away_team", "competition", "scheduled_kickoff", "timezone", "updated_at", "match_row"), "scheduled_kickoff", F.col("timezone"))
+    rows = cut(timestamps.to_instant(matches.select("match_id", "source", "country", "home_team", "away_team", "competition", "scheduled_kickoff", "timezone", "updated_at", "match_row"), "scheduled_kickoff", F.col("timezone")))  # parsed once, used by the fixtures below and by p2
     sides = F.explode(F.array("home_team", "away_team")).alias("name")
     names = matches.select(F.col("country").alias("scope"), sides).filter("scope is not null and name is not null").groupBy("scope", "name").agg(F.count(F.lit(1)).alias("n"))
     aliases = table(spark, d, "team_aliases").select(F.col("country").alias("scope"), F.col("alias").alias("name"), F.col("team").alias("other"))
