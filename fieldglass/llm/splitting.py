@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,41 +26,57 @@ BALANCE = 4.0
 _BREAK = re.compile(r"\s*\n\s*|(?<=[.!?…])[\"'»”’)\]]*\s+")
 
 
-def boundaries(text: str, parts: list[str], ends: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
-    """(indices, penalties): cuts before parts[i], in order, from 0 to len(parts). ends: tokens up to and including each part; step: gaps of more tokens get finer cuts."""
-    chars = np.cumsum(np.fromiter(map(len, parts), dtype="int64", count=len(parts)))
-    at, cost = [], []
-    for m in _BREAK.finditer(text):
-        e, lines = m.end(), m.group().count("\n")
-        at.append(e - 1 if text[e - 1] == " " and e < len(text) else e)
-        cost.append(PARAGRAPH if lines > 1 else LINE if lines else SENTENCE)
-    index = np.searchsorted(chars, np.array(at, dtype="int64"), side="left") + 1 if at else np.empty(0, "int64")
-    exact = chars[np.minimum(index, len(parts)) - 1] == np.array(at, dtype="int64") if at else np.empty(0, bool)
-    index, cost = index[exact], np.array(cost)[exact]
-    inner = (index > 0) & (index < len(parts))
-    index, first = np.unique(index[inner], return_index=True)
-    cost = cost[inner][first]
-    index, cost = np.concatenate([[0], index, [len(parts)]]).astype("int64"), np.concatenate([[0.0], cost, [0.0]])
-    tokens = np.concatenate([[0], ends])[index]
-    wide = np.flatnonzero(np.diff(tokens) > step)
-    if len(wide):
-        more, price = [], []
-        before = np.concatenate([[0], ends])
-        for w in wide:
-            lo, hi = int(index[w]) + 1, int(index[w + 1])
-            best: dict[int, tuple[float, int]] = {}  # the cheapest cut of each stretch of step / 8 tokens, the last of equals
-            for i in range(lo, hi):
-                last, here = parts[i - 1][-1:], parts[i][0]
-                p = (CLAUSE if last in ",;:|" else WORD) if here.isspace() else WORD if last.isspace() else INSIDE
-                k = int(before[i]) * 8 // step
-                if k not in best or p <= best[k][0]:
-                    best[k] = (p, i)
-            more += [i for _, i in best.values()]
-            price += [p for p, _ in best.values()]
-        index, cost = np.concatenate([index, more]).astype("int64"), np.concatenate([cost, price])
+_SPACES = np.array([*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], dtype="uint32")
+_COMMAS = np.array([ord(c) for c in ",;:|"], dtype="uint32")
+
+
+class Prepared:
+    """A text with what all limits share: parts, running sums of tokens and characters, and its natural cuts."""
+
+    def __init__(self, number: int, text: str, parts: list[str], counts: np.ndarray) -> None:
+        self.number, self.parts = number, parts
+        n = len(parts)
+        self.tokens, self.chars = np.zeros(n + 1, "int64"), np.zeros(n + 1, "int64")
+        np.cumsum(counts, out=self.tokens[1:])
+        np.cumsum(np.fromiter(map(len, parts), dtype="int64", count=n), out=self.chars[1:])
+        at, cost = [], []
+        for m in _BREAK.finditer(text):
+            e, lines = m.end(), m.group().count("\n")
+            at.append(e - 1 if text[e - 1] == " " and e < len(text) else e)
+            cost.append(PARAGRAPH if lines > 1 else LINE if lines else SENTENCE)
+        place = np.array(at, dtype="int64")
+        index = np.searchsorted(self.chars, place)
+        good = (index > 0) & (index < n) & (self.chars[np.minimum(index, n)] == place)
+        index, first = np.unique(index[good], return_index=True)
+        self.index = np.concatenate([[0], index, [n]]).astype("int64")
+        self.cost = np.concatenate([[0.0], np.array(cost, dtype="float64")[good][first], [0.0]])
+        self._inner: np.ndarray | None = None
+
+    def inner(self) -> np.ndarray:
+        """Penalty of a cut before each part that is no natural one."""
+        if self._inner is None:
+            codes = lambda chars: np.frombuffer("".join(chars).encode("utf-32-le"), dtype="<u4")
+            first, last = codes(map(itemgetter(0), self.parts)), codes(map(itemgetter(-1), self.parts))
+            last = np.concatenate([[0], last[:-1]])
+            here = np.isin(first, _SPACES)
+            self._inner = np.where(here & np.isin(last, _COMMAS), CLAUSE, np.where(here | np.isin(last, _SPACES), WORD, INSIDE))
+        return self._inner
+
+    def cuts(self, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """(indices, penalties): cuts before parts[i], in order, from 0 to the end. Where natural cuts are more than step tokens apart, the cheapest (of equals the last) of every step / 8 tokens joins them."""
+        at = self.tokens[self.index]
+        wide = np.flatnonzero(np.diff(at) > step)
+        if not len(wide):
+            return self.index, self.cost
+        more = np.concatenate([np.arange(self.index[w] + 1, self.index[w + 1]) for w in wide])
+        gap = np.repeat(wide, self.index[wide + 1] - self.index[wide] - 1)
+        price, stretch = self.inner()[more], self.tokens[more] * 8 // step
+        order = np.lexsort((-more, price, stretch, gap))
+        same = (np.diff(gap[order]) == 0) & (np.diff(stretch[order]) == 0)
+        picked = order[np.concatenate([[True], ~same])] if len(order) else order
+        index, cost = np.concatenate([self.index, more[picked]]), np.concatenate([self.cost, price[picked]])
         order = np.argsort(index, kind="stable")
-        index, cost = index[order], cost[order]
-    return index, cost
+        return index[order], cost[order]
 
 
 def solve(ends: list[np.ndarray], starts: list[np.ndarray], costs: list[np.ndarray], limit: int, overlap: int) -> list[list[int]]:
@@ -100,33 +117,31 @@ def solve(ends: list[np.ndarray], starts: list[np.ndarray], costs: list[np.ndarr
     return out
 
 
-def _pieces(texts: list[str], prepared: list[tuple[int, list[str], np.ndarray]], limit: int, overlap: int, one) -> list[list[tuple[int, int, int]]]:  # noqa: ANN001
-    """(start, end, tokens) in characters of the pieces of each prepared text over the limit: number, parts and running token sums. one: counts the tokens of a pre-token."""
+def pieces(n_texts: int, prepared: list[Prepared], limit: int, overlap: int, one) -> list[list[tuple[int, int, int]]]:  # noqa: ANN001
+    """(start, end, tokens) in characters of the pieces of each text over the limit. one: counts the tokens of a pre-token."""
     if limit <= overlap + 2 * PART:
         raise ValueError("the limit must exceed the overlap by two parts at least")
-    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    out: list[list[tuple[int, int, int]]] = [[] for _ in range(n_texts)]
     todo, ends, starts, costs = [], [], [], []
-    for i, parts, total in prepared:
-        if not len(parts) or total[-1] <= limit:
+    for p in prepared:
+        if p.tokens[-1] <= limit:
             continue
-        index, cost = boundaries(texts[i], parts, total, max(PART, (limit - overlap) // 4))
-        before = np.concatenate([[0], total])
-        begin = np.maximum(np.searchsorted(before, before[index] - overlap, side="right") - 1, 0)
+        index, cost = p.cuts(max(PART, (limit - overlap) // 4))
+        begin = np.maximum(np.searchsorted(p.tokens, p.tokens[index] - overlap, side="right") - 1, 0) if overlap else index.copy()
         begin[0] = 0
-        todo.append((i, parts, before, index, begin))
-        ends.append(before[index])
-        starts.append(before[begin])
+        todo.append((p, index, begin))
+        ends.append(p.tokens[index])
+        starts.append(p.tokens[begin])
         costs.append(cost)
-    for (i, parts, before, index, begin), cuts in zip(todo, solve(ends, starts, costs, limit, overlap), strict=True):
-        chars = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), dtype="int64", count=len(parts)))])
+    for (p, index, begin), cuts in zip(todo, solve(ends, starts, costs, limit, overlap), strict=True):
         last = 0
         for j in cuts:
             a, b = int(begin[last]), int(index[j])
             end = b
-            while end > a and parts[end - 1].isspace():
+            while end > a and p.parts[end - 1].isspace():
                 end -= 1
-            tail = one("".join(parts[end:b])) if b - end > 1 else int(before[b] - before[end])  # space at the end of a piece is one pre-token
-            out[i].append((int(chars[a]), int(chars[b]), int(before[end] - before[a]) + tail))
+            tail = one("".join(p.parts[end:b])) if b - end > 1 else int(p.tokens[b] - p.tokens[end])  # space at the end of a piece is one pre-token
+            out[p.number].append((int(p.chars[a]), int(p.chars[b]), int(p.tokens[end] - p.tokens[a]) + tail))
             last = j
     return out
 
@@ -153,10 +168,9 @@ def split(documents: DataFrame, limits: list[tuple[int, int, int]], *, key: str
                 prepared = []
                 for i, t in enumerate(texts):
                     if limits and len(t.encode()) > min(x[1] for x in limits):  # a token has a byte at least
-                        p, n = count.parts(t)
-                        prepared.append((i, p, np.cumsum(n)))
+                        prepared.append(Prepared(i, t, *count.parts(t)))
                 for limit_id, limit, overlap in limits:
-                    rows = [(limit_id, keys[i], k, a, z, n, texts[i][a:z]) for i, found in enumerate(_pieces(texts, prepared, limit, overlap, count.one)) for k, (a, z, n) in enumerate(found)]
+                    rows = [(limit_id, keys[i], k, a, z, n, texts[i][a:z]) for i, found in enumerate(pieces(len(texts), prepared, limit, overlap, count.one)) for k, (a, z, n) in enumerate(found)]
                     kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)], names=["limit_id", key, "piece", "start_char", "end_char", "tokens", "piece_text"])
 
