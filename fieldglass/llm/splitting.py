@@ -23,7 +23,7 @@ from fieldglass.llm.tokens import PART, counter, default_path
 #: Penalties of cutting at a paragraph, line, sentence, clause, word, or elsewhere; weight of the imbalance.
 PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, INSIDE = 0.0, 0.5, 1.0, 2.0, 4.0, 8.0
 BALANCE = 4.0
-_BREAK = re.compile(r"\s*\n\s*|(?<=[.!?…])[\"'»”’)\]]*\s+")
+_BREAK = re.compile(r"[.!?…][\"'»”’)\]]*\s+|\n\s*")
 
 
 _SPACES = np.array([*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], dtype="uint32")
@@ -33,12 +33,12 @@ _COMMAS = np.array([ord(c) for c in ",;:|"], dtype="uint32")
 class Prepared:
     """A text with what all limits share: parts, running sums of tokens and characters, and its natural cuts."""
 
-    def __init__(self, number: int, text: str, parts: list[str], counts: np.ndarray) -> None:
+    def __init__(self, number: int, text: str, parts: list[str], counts: np.ndarray, lengths: np.ndarray) -> None:
         self.number, self.parts = number, parts
         n = len(parts)
         self.tokens, self.chars = np.zeros(n + 1, "int64"), np.zeros(n + 1, "int64")
         np.cumsum(counts, out=self.tokens[1:])
-        np.cumsum(np.fromiter(map(len, parts), dtype="int64", count=n), out=self.chars[1:])
+        np.cumsum(lengths, out=self.chars[1:])
         at, cost = [], []
         for m in _BREAK.finditer(text):
             e, lines = m.end(), m.group().count("\n")

@@ -80,12 +80,14 @@ class Counter:
             return 0
         return int(self.counts(self.pretokens(text)).sum())
 
-    def parts(self, text: str) -> tuple[list[str], np.ndarray]:
-        """Pre-tokens, the longest cut into parts, with their counts."""
+    def parts(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Pre-tokens, the longest cut into parts, with their token counts and lengths."""
         p = self.pretokens(text)
-        if max(map(len, p), default=0) > PART:
+        size = np.fromiter(map(len, p), dtype="int64", count=len(p))
+        if len(p) and size.max() > PART:
             p = [x[i : i + PART] for x in p for i in range(0, len(x), PART)]
-        return p, self.counts(p)
+            size = np.fromiter(map(len, p), dtype="int64", count=len(p))
+        return p, self.counts(p), size
 
 
 @lru_cache(4)
