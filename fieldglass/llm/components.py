@@ -28,3 +28,15 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if same:
             return labels
     raise RuntimeError("components did not settle")
+
+
+def forest_roots(parents: DataFrame, rounds: int = 50) -> DataFrame:
+    """(node, root) of a forest given as (node, parent): every node once, roots as their own parents. Paths halve with every round."""
+    labels = cut(parents.select("node", F.col("parent").alias("root")))
+    for _ in range(rounds):
+        up = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        new = cut(labels.join(up, "root").select("node", F.col("top").alias("root"), (F.col("top") != F.col("root")).alias("moved")))
+        labels = new.select("node", "root")
+        if new.filter("moved").isEmpty():
+            return labels
+    raise RuntimeError("the parents don't form a forest")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldglass.llm.components import components
+from fieldglass.llm.components import components, forest_roots
 from fieldglass.llm.editdistance import banded
 from fieldglass.llm.names import parts
 from fieldglass.session import cut
@@ -123,20 +123,20 @@ def name_classes(names: DataFrame, aliases: DataFrame, k: int = 2, minimum: int
     both = pairs.unionByName(pairs.select(F.col("node_b").alias("node_a"), F.col("node_a").alias("node_b"), "distance"))
     both = both.join(weight.select(F.col("node").alias("node_a"), F.col("n").alias("n_a")), "node_a").join(weight.select(F.col("node").alias("node_b"), F.col("n").alias("n_b")), "node_b")
     up = both.filter((F.col("n_b") > F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("node_b") < F.col("node_a"))))
-    typed = up.groupBy("node_a").agg(F.max_by("node_b", F.struct(-F.col("distance"), "n_b", "node_b")).alias("b")).select(F.col("node_a").alias("a"), "b")
-    alone = every.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    base = components(typed.unionByName(alone))
+    typed = up.groupBy("node_a").agg(F.max_by("node_b", F.struct(-F.col("distance"), "n_b", "node_b")).alias("b")).select(F.col("node_a").alias("node"), "b")
+    base = forest_roots(stems.select("node").join(typed, "node", "left").select("node", F.coalesce("b", "node").alias("parent")))
 
     # shortened stems: filed under every beginning of the full stems of the frame
     begins = full.filter("kind = 'full'").join(base, "node").select("frame", "root", F.explode(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length("stem")))).alias("size"), "stem").select("frame", "root", F.expr("left(stem, size)").alias("stem"))
-    short = stems.filter("kind = 'short'").join(begins, ["frame", "stem"]).groupBy("node").agg(F.min("root").alias("b"), F.max("root").alias("c")).filter("b = c").select(F.col("node").alias("a"), "b")
-    labels = components(base.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(short))
-
-    # aliases: node to node, unless a nickname has several targets
-    node = every.select("scope", "name", "node", "kind")
-    told = al.select("scope", "name", "other").join(node, ["scope", "name"]).join(node.select("scope", F.col("name").alias("other"), F.col("node").alias("to")), ["scope", "other"]).join(labels.select(F.col("node").alias("to"), F.col("root").alias("b")), "to")
-    told = told.groupBy("node").agg(F.min("b").alias("b"), F.max("b").alias("c")).filter("b = c").select(F.col("node").alias("a"), "b")
-    final = components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(told))
+    short = stems.filter("kind = 'short'").join(begins, ["frame", "stem"]).groupBy("node").agg(F.min("root").alias("b"), F.max("root").alias("c")).filter("b = c").select("node", "b")
+    labels = cut(base.join(short, "node", "left").select("node", F.coalesce("b", "root").alias("root")))
+
+    # aliases: root to root, unless a name has several targets
+    node = every.select("scope", "name", "node").join(labels, "node").select("scope", "name", "root")
+    told = al.select("scope", "name", "other").join(node, ["scope", "name"]).join(node.select("scope", F.col("name").alias("other"), F.col("root").alias("b")), ["scope", "other"])
+    told = told.groupBy("root").agg(F.min(F.when(F.col("b") != F.col("root"), F.col("b"))).alias("b"), F.max(F.when(F.col("b") != F.col("root"), F.col("b"))).alias("c")).filter("b = c").select(F.col("root").alias("a"), "b")
+    joined = components(told).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    final = labels.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     return every.filter("n > 0").join(final, "node").select("scope", "name", "node", "kind", "root", "n")
 
 
