@@ -104,7 +104,8 @@ def name_classes(names: DataFrame, aliases: DataFrame, k: int = 2, minimum: int
 
     names: `scope`, `name`, `n` (how often), distinct by scope and name.
     aliases: `scope`, `name`, `other`: two names of one entity. Names without a
-    stem stay alone. A stem of fewer than `minimum` letters must agree exactly.
+    stem stay alone. A stem of fewer than `minimum` letters must agree exactly, and so
+    must nicknames of several words, which differ by as little as typing errors do.
 
     Every stem is linked to the best near stem that is more frequent (nearest,
     then most frequent), so that a spelling goes to one entity only; a shortened
@@ -118,7 +119,7 @@ def name_classes(names: DataFrame, aliases: DataFrame, k: int = 2, minimum: int
     every = cut(every.withColumn("node", F.when(F.col("kind") == "none", F.concat("frame", F.lit("|="), "name")).otherwise(F.col("node"))))
     stems = cut(every.groupBy("node", "frame", "stem", "kind").agg(F.sum("n").alias("n")))
     full = stems.filter((F.col("kind") == "full") | (F.col("kind") == "nick"))
-    pairs = near_pairs(full.filter(F.length("stem") >= minimum), k)
+    pairs = near_pairs(full.filter((F.col("kind") == "full") & (F.length("stem") >= minimum)), k)
     weight = full.select("node", "n")
     both = pairs.unionByName(pairs.select(F.col("node_b").alias("node_a"), F.col("node_a").alias("node_b"), "distance"))
     both = both.join(weight.select(F.col("node").alias("node_a"), F.col("n").alias("n_a")), "node_a").join(weight.select(F.col("node").alias("node_b"), F.col("n").alias("n_b")), "node_b")
