@@ -314,9 +314,13 @@ def fuzzy_similarity(spark, d):  # noqa: ANN001, ANN201
     """Distinct team names of one source with those of the other that share a normalised word and the country: score and verdict."""
     m = table(spark, d, "matches").withColumn("src", F.element_at(F.map_keys("source_urls"), 1))
     names = m.select("src", "country", F.explode(F.array("home_team", "away_team")).alias("name")).distinct().withColumn("norm", similarity.normalized_name("name"))
-    blocks = names.withColumn("word", F.explode(F.array_distinct(F.split("norm", " ")))).filter(F.length("word") >= 7)
+    blocks = names.withColumn("word", F.explode(F.array_distinct(F.split("norm", " ")))).filter("word <> ''")
     a, b = blocks.filter("src = 'soccerstats'"), blocks.filter("src <> 'soccerstats'")
-    pairs = a.select("country", "word", F.col("name").alias("a")).join(b.select("country", "word", F.col("name").alias("b")), ["country", "word"]).select("country", "a", "b").distinct()
+    # a frequent word's block is cut into slices of about 1,000 names, each with a copy of the other side
+    slices = a.groupBy("country", "word").agg(F.ceil(F.count(F.lit(1)) / 1000).alias("n"))
+    a = a.join(slices, ["country", "word"]).select("country", "word", F.pmod(F.xxhash64("name"), "n").alias("slice"), F.col("name").alias("a"))
+    b = b.join(slices, ["country", "word"]).select("country", "word", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("slice"), F.col("name").alias("b"))
+    pairs = a.join(b, ["country", "word", "slice"]).select("country", "a", "b").distinct()
     return pairs.withColumn("c", similarity.compare_names("a", "b")).select("country", "a", "b", "c.*")
 
 
