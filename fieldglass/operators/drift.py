@@ -9,6 +9,8 @@ gives the changes from file to file.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,18 +30,39 @@ def json_type(v: Column) -> Column:
     return F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s == "VOID", "null").otherwise("number")
 
 
+def _fitting(v: Column, path: str, kind: str) -> Column:
+    """The value at a path as `kind`, null where it does not cast; objects and arrays are no plain values (their cast to string would give JSON text)."""
+    value = F.try_variant_get(v, path, kind)
+    if kind.lower().startswith(("array", "map", "struct", "variant")):
+        return value
+    return F.when(~json_type(F.try_variant_get(v, path, "variant")).isin("object", "array"), value)
+
+
+def _without(v: Column, steps: list[str | int]) -> Column:
+    """The variant less what the steps (names, list positions) lead to, siblings kept; null if nothing is left."""
+    if not steps:
+        return F.lit(None).cast("variant")
+    first, rest = steps[0], steps[1:]
+    if isinstance(first, int):
+        kept = F.filter(F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: F.when(i == first, _without(x, rest)).otherwise(x)), lambda x: x.isNotNull())
+    else:
+        kept = F.map_filter(F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), lambda k, x: F.when(k == first, _without(x, rest)).otherwise(x)), lambda _, x: x.isNotNull())
+    return F.when(F.size(kept) > 0, F.to_variant_object(kept))
+
+
 def ingest(lines: DataFrame, target: dict[str, str], *, payload: str = "payload", rescue: str = "_rescued") -> DataFrame:
     """One typed table: the other columns of `lines`, the target's columns, and the rescue column.
 
     target maps a field to its type. A field the target does not know, or a
-    value that does not cast to its type, is kept as JSON in the rescue column
+    value that does not cast to its type (an object or array never casts to a
+    plain one), is kept as JSON in the rescue column
     (an object of field to value, null if nothing was rescued); no value is
     lost. An unreadable line gives nulls in all typed columns and the raw text
     under the key `_unreadable`. A JSON null is null in the typed column. Columns of
     `lines` whose names clash with target fields are replaced by the latter.
     """
     df = read_objects(lines, payload).withColumn("_bad", F.col("fields").isNull() & F.col(payload).isNotNull())
-    typed = {f: F.expr(f"try_variant_get(element_at(fields, '{f}'), '$', '{t}')") for f, t in target.items()}
+    typed = {f: _fitting(F.element_at("fields", F.lit(f)), "$", t) for f, t in target.items()}
     df = df.drop(*target).withColumns(typed)
     lost = F.lit(False)
     keep = None
@@ -54,17 +77,18 @@ def ingest(lines: DataFrame, target: dict[str, str], *, payload: str = "payload"
 def promote(table: DataFrame, column: str, kind: str, paths: list[str], *, rescue: str = "_rescued") -> DataFrame:
     """Replays rescued values into `column` (created if absent) and takes what was replayed out of the rescue column.
 
-    paths are JSON paths into the rescued object, tried in order where the
-    column is null; a value that does not cast stays rescued.
+    paths are JSON paths into the rescued object (`$.a`, `$.a.b`, `$.a[0]`), tried
+    in order where the column is null; a value that does not cast stays rescued,
+    and so do the siblings of a value inside an object or list.
     """
     v = F.try_parse_json(F.col(rescue))
     had = F.col(column) if column in table.columns else F.lit(None).cast(kind)
-    tries = [F.expr(f"try_variant_get(_rv, '{p}', '{kind}')") for p in paths]
+    tries = [_fitting(F.col("_rv"), p, kind) for p in paths]
     df = table.withColumn("_rv", v).withColumn("_had", had)
-    df = df.withColumn("_from", F.when(F.col("_had").isNull(), F.coalesce(*[F.when(t.isNotNull(), F.lit(p.split(".")[1])) for t, p in zip(tries, paths, strict=True)])))
+    df = df.withColumn("_from", F.when(F.col("_had").isNull(), F.coalesce(*[F.when(t.isNotNull(), F.lit(p)) for t, p in zip(tries, paths, strict=True)])))
     df = df.withColumn(column, F.coalesce(F.col("_had"), *tries))
-    rest = F.map_filter(F.expr("cast(_rv as map<string, variant>)"), lambda k, _: k != F.col("_from"))
-    return df.withColumn(rescue, F.when(F.col("_from").isNull(), F.col(rescue)).otherwise(F.when(F.size(rest) > 0, F.to_json(rest)))).drop("_rv", "_had", "_from")
+    rest = F.coalesce(*[F.when(F.col("_from") == p, _without(F.col("_rv"), [int(n) if n else k for k, n in re.findall(r"\.([^.\[]+)|\[(\d+)\]", p)])) for p in paths])
+    return df.withColumn(rescue, F.when(F.col("_from").isNull(), F.col(rescue)).otherwise(F.to_json(rest))).drop("_rv", "_had", "_from")
 
 
 def changes(lines: DataFrame, *, feed: str = "feed", run: str = "run_no", order: str = "line_no", key: str = "match_id", payload: str = "payload") -> DataFrame:

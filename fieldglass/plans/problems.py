@@ -19,12 +19,12 @@ GONE = ("deleted", "removed", "purged")
 #: Names under which fields were seen to travel; approved for promotion (fixed values).
 APPROVED = {
     "kickoff_utc": ["kickoff_utc.at", "ko_time_utc", "kickoffUtc", "start_at", "ko_time_utc.at", "kickoffUtc.at", "start_at.at"],
-    "lifecycle_state": ["fixture_state", "state_now", "lifecycleState"],
+    "lifecycle_state": ["lifecycle_state.state", "fixture_state", "state_now", "lifecycleState", "fixture_state.state", "state_now.state", "lifecycleState.state"],
     "pre_match_eligible": ["usable_pre", "eligible_before_kickoff", "preMatchEligible"],
-    "result_snapshot_id": ["result_page_ref", "res_snap", "resultSnapshotId"],
+    "result_snapshot_id": [f"{n}{e}" for e in ("", ".id", "[0]") for n in ("result_snapshot_id", "result_page_ref", "res_snap", "resultSnapshotId")],
     "kickoff_confidence": ["kickoffConfidence", "time_trust"],
     "result_collected": ["has_result"],
-    "detail_snapshot_path": ["detail_file"],
+    "detail_snapshot_path": ["detail_snapshot_path[0]", "detail_file", "detail_file[0]"],
     "scope": ["index_scope"],
 }
 LINK_FIELDS = {
