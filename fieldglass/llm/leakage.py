@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,17 +34,22 @@ _TAG = re.compile(r"<[/!]?[a-zA-Z][^<>]{0,500}>")
 _WORD = re.compile(r"[^\W_]+")
 
 
-def words(text: str | None) -> list[str]:
-    """The words of a text as a reader sees them: no markup, entities, invisible characters, accents, look-alike letters or case."""
+def visible(text: str | None) -> str:
+    """A text as a reader sees it: no markup, entities, invisible characters, accents, look-alike letters or case."""
     if not text:
-        return []
+        return ""
     if "<" in text:
         text = _TAG.sub(" ", _INLINE.sub("", text))
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text).translate(_TABLE)
-    return _WORD.findall(text.lower())
+    return text.lower()
+
+
+def words(text: str | None) -> list[str]:
+    """The words of a text as a reader sees them."""
+    return _WORD.findall(visible(text))
 
 
 def word_numbers(text: str | None) -> list[int]:
@@ -70,50 +76,83 @@ def shingle_keys(ids: np.ndarray) -> np.ndarray:
     return np.where(known, np.maximum(key >> np.uint64(1), np.uint64(1)), 0).astype("int64")
 
 
-def _chain(doc: list[int], item: list[int], d: int, i: int, step: int) -> list[tuple[int, int, int, int]]:
-    """Exact stretches from (d, i) on in one direction, with what was altered before each: (gap in the item, gap in the document, stretch, altered)."""
-    out = []
-    gaps = [(1, 1), (0, 1), (1, 0), (2, 2), (1, 2), (2, 1), (0, 2), (2, 0)]
-    reach = lambda a, b: 0 <= a < len(doc) and 0 <= b < len(item) and doc[a] == item[b]
-    while True:
-        best = None
-        for gi, gd in gaps:
-            a, b, n = d + step * gd, i + step * gi, 0
-            while reach(a, b):
-                a, b, n = a + step, b + step, n + 1
-            cost = max(gi, gd)
-            if n and (n >= 2 or not 0 <= b < len(item)) and (best is None or n - 4 * cost > best[2] - 4 * best[3]):
-                best = (gi, gd, n, cost)
-        if best is None:
-            return out
-        out.append(best)
-        d, i = d + step * (best[1] + best[2]), i + step * (best[0] + best[2])
-
-
-def longest_run(doc: list[int], item: list[int], numbers: list[int], d: int, i: int, least: int = 12, per: int = 10) -> int:
-    """Words of the longest run through the exact stretch at document word d and item word i with at most one in `per` altered; 0 if under `least`.
-
-    Altered means replaced, added or left out. A run begins and ends with words both have.
+def _numbers(seen: str) -> np.ndarray:
+    """For each word of a visible() text the number of the written word it is part of."""
+    counts = [1 if w.isalnum() else len(_WORD.findall(w)) for w in seen.split()]
+    return np.repeat(np.arange(len(counts), dtype="int32"), counts)
+
+
+def _reach(doc: list[int], doc_numbers: list[int], item: list[int], numbers: list[int], most: int) -> list[int]:
+    """For 0, 1, .. `most` altered words the furthest word of the item up to which its beginning matches the document's; 0 if none does.
+
+    An alteration replaces, adds or leaves out a written word or words in it. All ways are followed, the furthest on each diagonal
+    standing for the nearer ones; matching ends with a word both have.
+    """
+    nd, ni = len(doc), len(item)
+
+    def along(i: int, d: int) -> int:
+        n = i
+        while n < ni and d < nd and item[n] == doc[d]:
+            n, d = n + 1, d + 1
+        return n - i
+
+    n = along(0, 0)
+    found, level = [n], {0: (n, n)}  # diagonal: (words of the item done, words in the stretch they end with)
+    seen = dict.fromkeys(level, n)
+    for _ in range(most):
+        after: dict[int, int] = {}
+        best = found[-1]
+        for diagonal, (i, back) in level.items():
+            d = i + diagonal
+            # a stretch that ends inside a written word may also be left where that word begins
+            starts = {i}
+            k = i
+            while k > i - back and ((k < ni and numbers[k] == numbers[k - 1]) or (k + diagonal < nd and doc_numbers[k + diagonal] == doc_numbers[k + diagonal - 1])):
+                k -= 1
+                starts.add(k)
+            for i in starts:
+                d = i + diagonal
+                gi = gd = 0
+                while i + gi < ni and numbers[i + gi] == numbers[i]:
+                    gi += 1
+                while d + gd < nd and doc_numbers[d + gd] == doc_numbers[d]:
+                    gd += 1
+                for x in range(gi + 1):
+                    for y in range(gd + 1):
+                        if x or y:
+                            at = diagonal + y - x
+                            if i + x > best and d + y and item[i + x - 1] == doc[d + y - 1]:
+                                best = i + x
+                            if after.get(at, -1) < i + x and seen.get(at, -1) < i + x:
+                                after[at] = i + x
+        level = {}
+        for at, i in after.items():
+            n = along(i, i + at)
+            if n:
+                best = max(best, i + n)
+            if seen.get(at, -1) < i + n:
+                seen[at] = i + n
+            level[at] = (i + n, n)
+        found.append(best)
+        if not level:
+            break
+    return found
+
+
+def longest_run(doc: list[int], doc_numbers: list[int], item: list[int], numbers: list[int], d: int, i: int, least: int = 12, per: int = 10) -> int:
+    """Words of the longest run through document word d and item word i, which match, with at most one in `per` altered; 0 if under `least`.
+
+    Altered means replaced, added or left out, counted in written words. A run begins and ends with words both have.
     """
-    a, b = d, i
-    while a > 0 and b > 0 and doc[a - 1] == item[b - 1]:
-        a, b = a - 1, b - 1
-    e, f = d, i
-    while e < len(doc) and f < len(item) and doc[e] == item[f]:
-        e, f = e + 1, f + 1
-    starts, ends = [(b, 0)], [(f, 0)]
-    at, spent = b, 0
-    for gi, _, n, cost in _chain(doc, item, a - 1, b - 1, -1):
-        at, spent = at - gi - n, spent + cost
-        starts.append((at, spent))
-    at, spent = f, 0
-    for gi, _, n, cost in _chain(doc, item, e, f, 1):
-        at, spent = at + gi + n, spent + cost
-        ends.append((at, spent))
+    most = (numbers[-1] + 1) // per
+    room = len(item) + most  # written words of the document that can matter on a side
+    lo, hi = bisect_left(doc_numbers, doc_numbers[d] - room), bisect_right(doc_numbers, doc_numbers[d] + room)
+    ends = _reach(doc[d:hi], doc_numbers[d:hi], item[i:], numbers[i:], most)
+    starts = _reach(doc[lo:d][::-1], doc_numbers[lo:d][::-1], item[:i][::-1], numbers[:i][::-1], most)
     best = 0
-    for s, x in starts:
-        for t, y in ends:
-            n = numbers[t - 1] - numbers[s] + 1
+    for x, s in enumerate(starts):
+        for y, t in enumerate(ends):
+            n = numbers[i + t - 1] - numbers[i - s] + 1
             if n >= least and (x + y) * per <= n:
                 best = max(best, n)
     return best
@@ -144,9 +183,10 @@ def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc
         number, keys, _ = shared.value
         get = number.get
         for batch in batches:
-            ids_out, hit_out, at_out, doc_out = [], [], [], []
+            ids_out, hit_out, at_out, doc_out, num_out = [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.fromiter((get(w, 0) for w in words(text.as_py())), dtype="int32")
+                seen = visible(text.as_py())
+                ids = np.fromiter((get(w, 0) for w in _WORD.findall(seen)), dtype="int32")
                 found = shingle_keys(ids)
                 if not len(found) or not len(keys):
                     continue
@@ -157,9 +197,10 @@ def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc
                     hit_out.append(found[at])
                     at_out.append(at.astype("int32"))
                     doc_out.append(ids.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids_out, pa.int64()), pa.array(hit_out, pa.list_(pa.int64())), pa.array(at_out, pa.list_(pa.int32())), pa.array(doc_out, pa.binary())], names=["doc", "hits", "at", "ids"])
+                    num_out.append(np.packbits(np.diff(_numbers(seen), prepend=-1) > 0).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids_out, pa.int64()), pa.array(hit_out, pa.list_(pa.int64())), pa.array(at_out, pa.list_(pa.int32())), pa.array(doc_out, pa.binary()), pa.array(num_out, pa.binary())], names=["doc", "hits", "at", "ids", "begins"])
 
-    touched = cut(documents.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(doc_text)).dropna().mapInArrow(scan, "doc bigint, hits array<bigint>, at array<int>, ids binary"))
+    touched = cut(documents.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(doc_text)).dropna().mapInArrow(scan, "doc bigint, hits array<bigint>, at array<int>, ids binary, begins binary"))
     rarity = touched.select(F.explode(F.array_distinct("hits")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("df"))
     index = spark.createDataFrame(item_keys, "item bigint, pos int, key bigint").join(rarity, "key", "left").fillna(0, ["df"])
     after = index.select("item", (F.col("pos") - 1).alias("pos"), F.col("key").alias("key2"), F.col("df").alias("df2"))
@@ -169,25 +210,30 @@ def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc
     prefix = pairs.select("item", F.when(first, F.col("pos")).otherwise(F.col("pos") + 1).alias("pos"), F.when(first, F.col("key")).otherwise(F.col("key2")).alias("key")).distinct()
     hits = touched.select("doc", F.posexplode("hits").alias("n", "key"), "at").select("doc", "key", F.expr("element_at(at, n + 1)").alias("d"))
     candidates = hits.join(prefix, "key").groupBy("doc", "item").agg(F.collect_set(F.struct("d", "pos")).alias("anchors"))
-    found = candidates.join(touched.select("doc", "ids"), "doc")
+    found = candidates.join(touched.select("doc", "ids", "begins"), "doc")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, all_items = shared.value
         for batch in batches:
             out = []
-            for doc, item, anchors, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for doc, item, anchors, raw, begins in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 ids, (wanted, numbers) = np.frombuffer(raw, "int32").tolist(), all_items[item]
                 if numbers[-1] + 1 < least:
                     continue
-                best = 0
+                doc_numbers = np.cumsum(np.unpackbits(np.frombuffer(begins, "uint8"), count=len(ids))).tolist()
+                best, tried = 0, {}  # diagonal: where the last stretch tried ends
                 for a in sorted(anchors, key=lambda x: (x["d"], x["pos"])):
                     d, i = a["d"], a["pos"]
-                    if best == 0 or best < numbers[-1] + 1:
+                    if best < numbers[-1] + 1 and i >= tried.get(d - i, 0):
                         neighbour = (i + SHINGLE < len(wanted) and d + SHINGLE < len(ids) and ids[d + SHINGLE] == wanted[i + SHINGLE]) or (i > 0 and d > 0 and ids[d - 1] == wanted[i - 1])
                         if neighbour and ids[d : d + SHINGLE] == wanted[i : i + SHINGLE]:
-                            best = max(best, longest_run(ids, wanted, numbers, d, i, least, per))
+                            best = max(best, longest_run(ids, doc_numbers, wanted, numbers, d, i, least, per))
+                            e = i
+                            while e < len(wanted) and d - i + e < len(ids) and ids[d - i + e] == wanted[e]:
+                                e += 1
+                            tried[d - i] = e
                 if best:
                     out.append((doc, item, best))
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(3)], names=["doc_id", "item_id", "words"])
 
-    return found.select("doc", "item", "anchors", "ids").mapInArrow(verify, "doc_id bigint, item_id bigint, words bigint").distinct()
+    return found.select("doc", "item", "anchors", "ids", "begins").mapInArrow(verify, "doc_id bigint, item_id bigint, words bigint").distinct()
