@@ -29,8 +29,8 @@ SHINGLE = 5
 LOOKALIKES = dict(zip("аеорсухіјѕԁһӏьгкмнтвкАВЕКМНОРСТУХІЈЅαορνικτ", "aeopcyxijsdhlbrkmhtbkABEKMHOPCTYXIJSaopvikt", strict=True))
 _UNSEEN = {c: None for c in [*range(0x300, 0x370), 0xAD, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), 0xFEFF, *range(0xFE00, 0xFE10)]}
 _TABLE = _UNSEEN | {ord(a): b for a, b in LOOKALIKES.items()}
-_INLINE = re.compile(r"</?(?:a|abbr|b|code|em|font|i|mark|s|small|span|strong|sub|sup|u|wbr)\b[^<>]{0,500}>", re.I)
-_TAG = re.compile(r"<[/!]?[a-zA-Z][^<>]{0,500}>")
+_INLINE = re.compile(r"</?(?:a|abbr|b|code|em|font|i|mark|s|small|span|strong|sub|sup|u|wbr)\b[^<>]*>", re.I)
+_TAG = re.compile(r"<[/!]?[a-zA-Z][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
 
 
