@@ -1,28 +1,18 @@
-"""Names of clubs typed by people: the parts a name consists of."""
+"""Names of clubs typed by people: words and side. What the words mean is learned from the names themselves (see vocabulary)."""
 
 from __future__ import annotations
 
 import re
 import unicodedata
 
-# Fixed values of the domain: words clubs are called by, the forms people shorten them to, directions, legal affixes.
-CLUB_WORDS = "albion athletic city dynamo harriers olympic phoenix racing rangers rovers sporting town union united victoria wanderers".split()
-SHORT_WORDS = {
-    "alb": "albion", "albn": "albion", "ath": "athletic", "athl": "athletic", "atl": "athletic", "c": "city", "cty": "city", "dinamo": "dynamo", "dyn": "dynamo", "harr": "harriers", "hrs": "harriers", "oly": "olympic", "olymp": "olympic",
-    "phnx": "phoenix", "phx": "phoenix", "rac": "racing", "rcg": "racing", "rang": "rangers", "rgrs": "rangers", "rov": "rovers", "rvs": "rovers", "sp": "sporting", "sptg": "sporting", "t": "town", "tn": "town", "un": "union", "unn": "union",
-    "untd": "united", "utd": "united", "vic": "victoria", "vict": "victoria", "wand": "wanderers", "wdrs": "wanderers",
-}
-DIRECTIONS = {
-    "e": "east", "east": "east", "lower": "lower", "lwr": "lower", "n": "north", "north": "north", "nth": "north", "port": "port", "pt": "port", "s": "south", "sant": "sant", "south": "south", "st": "sant", "sth": "south",
-    "up": "upper", "upper": "upper", "upr": "upper", "w": "west", "west": "west", "wst": "west",
-}
-AFFIXES = frozenset("ac afc as bk cd cf fc fk if kf rc sc sk sv".split())
 LETTERS = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "æ": "ae", "œ": "oe", "ı": "i", "’": "'"})
 
-_INITIALS = re.compile(r"\b([a-z])\.\s?([a-z])\.(?![a-z])")
+# How a reserve, youth or women's side is marked; these are teams of their own.
 _YOUTH = re.compile(r"\b(?:under|u)[\s.\-]*(\d\d)\b")
 _WOMEN = re.compile(r"\(\s*w\s*\)|\b(?:women|ladies|femenino|feminin|frauen)\b|\bw\.?\s*$")
 _RESERVE = re.compile(r"\(\s*(?:ii|b|2)\s*\)|\bb[\s\-]team\b|\b(?:ii|2nd|reserves?|res)\b|\b(?:b|2)\s*$")
+
+_INITIALS = re.compile(r"\b([a-z])\.\s?([a-z])\.(?![a-z])")
 _TOKEN = re.compile(r"([^\W_]+(?:'[^\W_]+)?)(\.?)")
 
 
@@ -32,15 +22,8 @@ def fold(name: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
 
 
-def parts(name: str | None) -> tuple[str, str, str]:
-    """(frame, stem, kind) of a name.
-
-    frame: directions, club word and side (senior, reserve, youth by age,
-    women), which must agree exactly; stem: what is left, in which typing
-    errors are looked for; kind: `full`, `short` (the stem ends in a dot and is
-    a beginning only), `nick` (several words without a club's usual parts) or
-    `none` (nothing left). Legal affixes and word order don't count.
-    """
+def words(name: str | None) -> tuple[list[str], str]:
+    """(words, side) of a name: sorted folded words, one that ends in a dot keeping it; side is empty for a senior men's team."""
     s = _INITIALS.sub(r"\1\2 ", fold(name or ""))
     side = ""
     if m := _YOUTH.search(s):
@@ -49,20 +32,4 @@ def parts(name: str | None) -> tuple[str, str, str]:
     side, s = (side + "w", t) if t != s else (side, s)
     t = _RESERVE.sub(" ", s)
     side, s = (side + "r", t) if t != s else (side, s)
-    tokens = [(t, bool(d)) for t, d in _TOKEN.findall(s)]
-    tokens = [x for x in tokens if x[0] not in AFFIXES] or tokens
-    directions, words, rest = [], [], []
-    for t, dotted in tokens:
-        if t in CLUB_WORDS:
-            words.append(t)
-        elif t in SHORT_WORDS and (len(t) > 1 or dotted):
-            words.append(SHORT_WORDS[t])
-        elif t in DIRECTIONS and (t in DIRECTIONS.values() or dotted or len(t) > 1):
-            directions.append(DIRECTIONS[t])
-        else:
-            rest.append((t, dotted))
-    if not rest:  # only parts that name no place: they are the name
-        rest, words, directions = [(w, False) for w in words + directions], [], []
-    stem = " ".join(t for t, _ in rest)
-    kind = "none" if not stem else "nick" if len(rest) > 1 else "short" if rest[0][1] else "full"
-    return "|".join([" ".join(sorted(directions)), " ".join(sorted(words)), side]), stem, kind
+    return sorted(t + dot for t, dot in _TOKEN.findall(s)), side

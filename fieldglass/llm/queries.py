@@ -21,14 +21,14 @@ def team_classes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     names = matches.select(F.col("country").alias("scope"), sides).filter("scope is not null and name is not null").groupBy("scope", "name").agg(F.count(F.lit(1)).alias("n"))
     aliases = table(spark, d, "team_aliases").select(F.col("country").alias("scope"), F.col("alias").alias("name"), F.col("team").alias("other"))
     classes = cut(variants.name_classes(names, aliases))
-    # what stays a nickname is settled by the fixtures it appears in
-    kinds = classes.groupBy("root").agg(F.min(F.when(F.col("kind") == "nick", "nick").otherwise("known")).alias("kind"))
-    seen = with_classes(rows.filter("instant_s is not null"), classes.select("scope", "name", "root").join(kinds, "root"), ["root", "kind"])
-    slot = lambda role, other: F.concat_ws("|", F.lit(role), F.col("instant_s").cast("string"), F.col(other))
-    sightings = seen.select("source", F.explode(F.array(F.struct(slot("h", "away_root").alias("slot"), F.col("home_root").alias("root"), F.col("home_kind").alias("kind")), F.struct(slot("a", "home_root").alias("slot"), F.col("away_root").alias("root"), F.col("away_kind").alias("kind")))).alias("x")).select("source", "x.*")
-    settled = variants.slot_aliases(sightings)
-    classes = classes.join(settled.select(F.col("name_root").alias("root"), F.col("root").alias("meant")), "root", "left").withColumn("root", F.coalesce("meant", "root")).drop("meant")
-    return cut(classes.select("scope", "name", "root", "kind")), rows
+    # a nickname, or a name typed past recognition, is settled by the fixtures it appears in
+    seen = with_classes(rows.filter("instant_s is not null"), classes, ["root", "side"])
+    slot = lambda role, other: F.xxhash64(F.lit(role), "instant_s", other)
+    role = lambda r, own, other: F.struct(F.when(F.col(f"{other}_root").isNotNull(), slot(r, f"{other}_root")).alias("slot"), F.col(f"{own}_root").alias("root"), F.col(f"{own}_side").alias("side"))
+    sightings = seen.select("source", F.explode(F.array(role("h", "home", "away"), role("a", "away", "home"))).alias("x")).select("source", "x.*")
+    settled = variants.met_as(sightings)
+    classes = classes.join(settled, "root", "left").withColumn("root", F.coalesce("meant", "root")).drop("meant")
+    return cut(classes.select("scope", "name", "side", "text", "root")), rows
 
 
 def with_classes(rows: DataFrame, classes: DataFrame, columns: list[str]) -> DataFrame:
