@@ -44,66 +44,80 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return variants.class_pairs(classes).withColumnRenamed("scope", "country")
 
 
-def competition_key(c: F.Column) -> F.Column:
-    """A competition without its country, season and spelling."""
-    c = F.lower(F.regexp_replace(c, r"^.*(?: - |: )", ""))
-    for pattern, to in ((r"\bprem\b\.?", "premier"), (r"\bdiv\b\.?", "division"), (r"\b(?:19|20)\d\d\b", ""), (r"^.*friendl.*$", "friendly"), (r"^[a-z]+ (?=(?:premier|first|second|third|reserve)\b)", ""), (r"[^a-z0-9]+", " ")):
-        c = F.regexp_replace(c, pattern, to)
-    return F.nullif(F.trim(c), F.lit(""))
+def beginnings(c: F.Column) -> F.Column:
+    """The first three letters of a text's words, sorted, without numbers and single letters."""
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"([a-z]{2,})"), F.lit(1)), lambda x: F.substring(x, 1, 3))))
+
+
+ATTRIBUTES = ["home", "away", "home_text", "away_text", "instants", "days", "competition"]
 
 
 def match_records(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """One record per match id: teams, competitions, instants and days of all its deliveries."""
-    rows = with_classes(rows.withColumn("id", uuid_hex(F.col("match_id"))).filter("id is not null"), classes, ["root"])
+    """One record per match id: teams and competition of its last delivery, instants and days of all."""
+    rows = with_classes(rows.withColumn("id", uuid_hex(F.col("match_id"))).filter("id is not null"), classes, ["root", "text"])
     rows = rows.withColumn("day", F.coalesce(F.floor(F.col("instant_s") / 86400).cast("bigint"), timestamps.calendar_day(F.col("scheduled_kickoff"))))
-    last = F.struct("updated_at", "match_row")
-    return rows.groupBy("id").agg(F.max_by("source", last).alias("source"), F.max_by("home_root", last).alias("home"), F.max_by("away_root", last).alias("away"), F.collect_set("instant_s").alias("instants"), F.collect_set("day").alias("days"), F.collect_set(competition_key(F.col("competition"))).alias("competitions"))
+    last = lambda c: F.max_by(c, F.struct("updated_at", "match_row"))
+    said = F.max_by("competition", F.when(F.col("competition").isNotNull(), F.struct("updated_at", "match_row")))
+    picks = {"source": last("source"), "home": last("home_root"), "away": last("away_root"), "home_text": last("home_text"), "away_text": last("away_text")}
+    return rows.groupBy("id").agg(*[c.alias(n) for n, c in picks.items()], F.array_sort(F.collect_set("instant_s")).alias("instants"), F.array_sort(F.collect_set("day")).alias("days"), F.coalesce(beginnings(said), F.array().cast("array<string>")).alias("competition"))
+
+
+def agreement(met: DataFrame) -> DataFrame:
+    """Adds to pairs of match records their agreement levels by attribute, and how far apart their kickoffs are (`distance`).
+
+    A team agrees with the other record's: the same (4), within two typing errors
+    (3), in a word (2), with the other side's (1), or not (0). Sides that are
+    swapped count as one disagreement, not two.
+    """
+    c = F.col
+    gaps = lambda x: F.array_min(F.flatten(F.transform(f"{x}_a", lambda p: F.transform(f"{x}_b", lambda q: F.abs(p - q)))))
+    shared = F.size(F.array_intersect("competition_a", "competition_b")) / F.least(F.size("competition_a"), F.size("competition_b"))
+    met = timestamps.bind(met, gap=gaps("instants"), apart=gaps("days"), shared=F.when((F.size("competition_a") > 0) & (F.size("competition_b") > 0), shared))
+    swapped = (c("home_a") == c("away_b")) & (c("away_a") == c("home_b"))
+
+    def team(s: str, other_side: int) -> F.Column:
+        x, y = c(f"{s}_text_a"), c(f"{s}_text_b")
+        return F.when(c(f"{s}_a") == c(f"{s}_b"), 4).when(swapped, other_side).when(F.levenshtein(x, y, 2) >= 0, 3).when(F.arrays_overlap(F.split(x, " "), F.split(y, " ")), 2).otherwise(0)
+
+    gap, apart, shared = c("gap"), c("apart"), c("shared")
+    return met.withColumns({
+        "home": team("home", 1), "away": team("away", 4),
+        "competition": F.when(shared.isNull(), 1).when(shared == 1, 3).when(shared >= 0.5, 2).otherwise(0),
+        "kickoff": F.when(gap <= 300, 5).when(gap <= 7200, 4).when(gap == 86400, 3).when(gap.isNotNull(), 0).when(apart <= 1, 2).when(apart.isNotNull(), 0).otherwise(1),
+        "distance": F.coalesce(gap, apart * 86400 + 43200, F.lit(10**9)),
+    })
+
+
+#: What the matches' level probabilities start from.
+START = {"home": [0.02, 0.01, 0.01, 0.01, 0.95], "away": [0.02, 0.01, 0.01, 0.01, 0.95], "competition": [0.02, 0.08, 0.1, 0.8], "kickoff": [0.01, 0.08, 0.1, 0.02, 0.1, 0.69]}
 
 
 def p2_links(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of a soccerstats and a forebet match id with the confidence that they record one fixture."""
     classes, rows = team_classes(spark, d)
     records = cut(match_records(rows, classes))
-    two = F.concat_ws("|", "home", "away")
     teams = F.col("home").isNotNull() & F.col("away").isNotNull()
-    by_day = lambda tag, key, ok, days: F.when(ok, F.transform(days, lambda x: F.concat_ws("|", F.lit(tag), key, x.cast("string")))).otherwise(F.array())
+    key = lambda tag, *c: F.xxhash64(F.lit(tag), *c)
+    by_day = lambda tag, ok, days, *c: F.when(ok, F.transform(days, lambda x: key(tag, *c, x))).otherwise(F.array())
     around = F.array_distinct(F.flatten(F.transform("days", lambda x: F.array(x - 1, x, x + 1))))
-    dateless = F.size("days") == 0
+    none = F.array().cast("array<bigint>")
 
     def keys(days: F.Column, mine: str, other: str) -> F.Column:
         return F.concat(
-            by_day("T", two, teams, days),
-            by_day("H", F.col("home"), F.col("home").isNotNull(), days),
-            by_day("A", F.col("away"), F.col("away").isNotNull(), days),
-            by_day("S", F.concat_ws("|", F.least("home", "away"), F.greatest("home", "away")), teams, days),
-            F.when(teams, F.array(F.concat_ws("|", F.lit(other), two))).otherwise(F.array()),
-            F.when(teams & dateless, F.array(F.concat_ws("|", F.lit(mine), two))).otherwise(F.array()),
+            by_day("T", teams, days, "home", "away"),
+            by_day("H", F.col("home").isNotNull(), days, "home"),
+            by_day("A", F.col("away").isNotNull(), days, "away"),
+            by_day("S", teams, days, F.least("home", "away"), F.greatest("home", "away")),
+            # records without a day meet all of their teams
+            F.when(teams, F.array(key(other, "home", "away"))).otherwise(none),
+            F.when(teams & (F.size("days") == 0), F.array(key(mine, "home", "away"))).otherwise(none),
         )
 
-    left = records.filter("source = 'soccerstats'").withColumn("keys", keys(F.col("days"), "U", "V"))
-    right = records.filter("source = 'forebet'").withColumn("keys", keys(around, "V", "U"))
-    compared = compare(linkage.candidate_pairs(left, right), left, right)
-    by_chance = compare(linkage.random_pairs(left, right), left, right)
-    start = {"home": [0.04, 0.01, 0.95], "away": [0.04, 0.01, 0.95], "competition": [0.02, 0.08, 0.9], "kickoff": [0.01, 0.08, 0.1, 0.02, 0.1, 0.69]}
-    scored = linkage.score(cut(compared), by_chance, start, float(left.count()) * right.count())
-    return linkage.settle(scored.filter("confidence >= 0.5"), ["distance"])
-
-
-def compare(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Agreement levels of pairs (a, b) of match records by attribute, and how far apart their kickoffs are."""
-    for tag, side in (("a", left), ("b", right)):
-        pairs = pairs.join(side.select(F.col("id").alias(tag), *[F.col(c).alias(f"{c}_{tag}") for c in ("home", "away", "instants", "days", "competitions")]), tag)
-    gaps = lambda x: F.array_min(F.flatten(F.transform(f"{x}_a", lambda p: F.transform(f"{x}_b", lambda q: F.abs(p - q)))))
-    pairs = timestamps.bind(pairs, gap=gaps("instants"), days_apart=gaps("days"))
-    swapped = (F.col("home_a") == F.col("away_b")) & (F.col("away_a") == F.col("home_b"))
-    same = lambda s: F.when(F.col(f"{s}_a") == F.col(f"{s}_b"), 2).when(swapped, 1).otherwise(0)
-    return pairs.select(
-        "a", "b",
-        same("home").alias("home"), same("away").alias("away"),
-        F.when((F.size("competitions_a") == 0) | (F.size("competitions_b") == 0), 1).when(F.arrays_overlap("competitions_a", "competitions_b"), 2).otherwise(0).alias("competition"),
-        F.when(F.col("gap") <= 300, 5).when(F.col("gap") <= 7200, 4).when(F.col("gap") == 86400, 3).when(F.col("gap").isNotNull(), 0).when(F.col("days_apart") <= 1, 2).when(F.col("days_apart").isNotNull(), 0).otherwise(1).alias("kickoff"),
-        F.coalesce("gap", F.col("days_apart") * 86400 + 43200, F.lit(10**9)).alias("distance"),
-    )
+    (left, members_a), (right, members_b) = (linkage.profiles(records.filter(F.col("source") == s), ATTRIBUTES) for s in ("soccerstats", "forebet"))
+    left, right = cut(left.withColumn("keys", keys(F.col("days"), "U", "V"))), cut(right.withColumn("keys", keys(around, "V", "U")))
+    compared = cut(linkage.candidate_pairs(left, right, agreement, [*START, "distance"]))
+    scored = linkage.score(compared, linkage.random_pairs(left, right, agreement), START, float(left.count()) * right.count())
+    return linkage.linked(linkage.settle(scored.filter("confidence >= 0.5"), ["distance"]), members_a, members_b)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
