@@ -60,11 +60,14 @@ def zone_names(spark: SparkSession) -> list[str]:
     return sorted(z for z in map(str, known) if z in ("UTC", "GMT") or ("/" in z and not z.startswith("SystemV")))
 
 
-def parse_components(text: Column) -> Column:
-    """Struct of the slots of a text (strings, '' where absent); null if no notation matches."""
+def slots_of(text: Column) -> Column:
+    """Array of '#' and the slots of a text ('' where absent); a text no notation matches is its only element.
+
+    Runs of white space in longer texts count as one blank, so that no length is too long and none costs more than its share.
+    """
     pattern, replacement = compiled()
-    parts = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(replacement)), r"\|")
-    return F.when(parts[0] == "#", F.struct(*[parts[i + 1].alias(s) for i, s in enumerate(SLOTS)]))
+    squeezed = F.when(F.length(text) > 40, F.regexp_replace(text, r"\s+", " ")).otherwise(text)
+    return F.split(F.regexp_replace(squeezed, F.lit(pattern), F.lit(replacement)), r"\|")
 
 
 def bind(df: DataFrame, **columns: Column) -> DataFrame:
@@ -79,18 +82,22 @@ def to_instant(df: DataFrame, text: str, zone: Column | None = None, out: str =
     (a region name, an abbreviation or an offset such as GMT+05:45) applies.
     Local times that a daylight-saving change skips or repeats, dates that do
     not exist, dates without time, vague texts, and texts with no zone at all
-    give null, as do null, blank and overlong texts. Fractions are cut.
+    give null, as do null and blank texts. Texts may have any length. Fractions are cut.
     Numeric dates are day first, two-digit years are 20xx. Other columns,
     repeated rows included, pass through; names starting with `_ts_` are used
     inside and must not occur.
     """
     zone = F.lit(None).cast("string") if zone is None else F.trim(zone)
-    num = lambda slot: F.col(f"_ts_c.{slot}").try_cast("bigint")
-    df = bind(df, _ts_c=parse_components(F.when(F.length(text) <= 80, F.col(text))), _ts_zone=zone)
-    mon = (F.instr(F.lit("".join(MONTHS)), F.lower(F.substring(F.col("_ts_c.mon"), 1, 3))) + 2) / 3
-    year = num("y") + F.when(F.length("_ts_c.y") == 2, 2000).otherwise(0)
-    month = F.when(F.col("_ts_c.mon") != "", mon.cast("bigint")).otherwise(num("mo"))
-    ap = F.lower(F.col("_ts_c.ap"))
+    at = {s: i + 1 for i, s in enumerate(SLOTS)}
+    slot = lambda s: F.when(F.col("_ts_hit"), F.get("_ts_p", F.lit(at[s])))
+    num = lambda s: slot(s).try_cast("bigint")
+    given_at = r"^(?i:UTC|GMT)?([+-])(\d{1,2}):?(\d{2})?$"
+    df = bind(df, _ts_p=slots_of(F.col(text)), _ts_zone=zone, _ts_z=F.when(zone.rlike(r"[+-]\d"), F.split(F.regexp_replace(zone, given_at, "$1|$2|$3"), r"\|")))
+    df = bind(df, _ts_hit=F.coalesce(F.get("_ts_p", F.lit(0)) == "#", F.lit(False)))
+    mon = (F.instr(F.lit("".join(MONTHS)), F.lower(F.substring(slot("mon"), 1, 3))) + 2) / 3
+    year = num("y") + F.when(F.length(slot("y")) == 2, 2000).otherwise(0)
+    month = F.when(slot("mon") != "", mon.cast("bigint")).otherwise(num("mo"))
+    ap = F.lower(slot("ap"))
     hour = F.when(ap == "", num("h")).when(num("h").between(1, 12), num("h") % 12 + F.when(ap == "p", 12).otherwise(0))
     df = bind(df, **{"_ts_y": year, "_ts_mo": month, "_ts_d": num("d"), "_ts_h": hour, "_ts_mi": num("mi"), "_ts_s": F.coalesce(num("s"), F.lit(0))})
     ok = F.col("_ts_mo").between(1, 12) & F.col("_ts_d").between(1, month_length(F.col("_ts_y"), F.col("_ts_mo"))) & F.col("_ts_h").between(0, 23) & F.col("_ts_mi").between(0, 59) & F.col("_ts_s").between(0, 59)
@@ -98,24 +105,26 @@ def to_instant(df: DataFrame, text: str, zone: Column | None = None, out: str =
 
     offset = lambda sign, h, m: F.when((sign != "") & (h <= 18) & (F.coalesce(m, F.lit(0)) <= 59), F.when(sign == "-", -1).otherwise(1) * (h * 60 + F.coalesce(m, F.lit(0))))
     short = lambda c: F.coalesce(*[F.when(F.upper(c) == k, v) for k, v in ABBREVIATIONS.items()])
-    z = [F.regexp_extract(F.col("_ts_zone"), r"^(?i:UTC|GMT)?([+-])(\d{1,2}):?(\d{2})?$", i) for i in (1, 2, 3)]
-    own = F.when(F.col("_ts_c.z") != "", short(F.col("_ts_c.z"))).when(F.col("_ts_c.os") != "", offset(F.col("_ts_c.os"), num("oh"), num("om")))
-    has_own = (F.col("_ts_c.z") != "") | (F.col("_ts_c.os") != "")
-    given = F.coalesce(short(F.col("_ts_zone")), offset(z[0], z[1].try_cast("bigint"), z[2].try_cast("bigint")))
-    df = bind(df, **{"_ts_w": wall, "_ts_off": F.when(has_own, own).otherwise(given), "_ts_own": has_own, "_ts_region": F.when(F.col("_ts_zone").isin(zone_names(df.sparkSession)), F.col("_ts_zone"))})
+    z = [F.get("_ts_z", F.lit(i)) for i in range(3)]
+    own = F.when(slot("z") != "", short(slot("z"))).when(slot("os") != "", offset(slot("os"), num("oh"), num("om")))
+    has_own = (slot("z") != "") | (slot("os") != "")
+    given = F.when(F.size("_ts_z") == 3, offset(z[0], z[1].try_cast("bigint"), z[2].try_cast("bigint"))).otherwise(short(F.col("_ts_zone")))
+    df = bind(df, **{"_ts_w": wall, "_ts_own": has_own, "_ts_off": F.when(has_own, own).otherwise(given)})
+    df = bind(df, **{"_ts_region": F.when(~F.col("_ts_own") & F.col("_ts_off").isNull() & F.col("_ts_w").isNotNull() & F.col("_ts_zone").isin(zone_names(df.sparkSession)), F.col("_ts_zone"))})
     # A wall time in a region: the offsets in force a day before and a day after are the only candidates; one that maps back to the wall time counts.
-    safe, micros = F.coalesce(F.col("_ts_region"), F.lit("UTC")), lambda c: F.timestamp_micros(c * 1_000_000)
-    local = lambda utc: F.floor(F.unix_micros(F.from_utc_timestamp(micros(utc), safe)) / 1_000_000).cast("bigint")
+    # Only such rows are looked up: all others have no region.
+    region = F.col("_ts_region")
+    local = lambda utc: F.when(region.isNotNull(), F.floor(F.unix_micros(F.from_utc_timestamp(F.timestamp_seconds(utc), region)) / 1_000_000).cast("bigint"))
     df = bind(df, **{"_ts_a": F.col("_ts_w") - (local(F.col("_ts_w") - 86400) - F.col("_ts_w") + 86400), "_ts_b": F.col("_ts_w") - (local(F.col("_ts_w") + 86400) - F.col("_ts_w") - 86400)})
     a_ok, b_ok = local(F.col("_ts_a")) == F.col("_ts_w"), local(F.col("_ts_b")) == F.col("_ts_w")
     regional = F.when(F.col("_ts_a") == F.col("_ts_b"), F.when(a_ok, F.col("_ts_a"))).when(a_ok & ~b_ok, F.col("_ts_a")).when(b_ok & ~a_ok, F.col("_ts_b"))
     instant = (
-        F.when(F.col("_ts_c.e") != "", num("e"))
-        .when(F.col("_ts_c.ms") != "", F.floor(num("ms") / 1000).cast("bigint"))
+        F.when(slot("e") != "", num("e"))
+        .when(slot("ms") != "", F.floor(num("ms") / 1000).cast("bigint"))
         .when(F.col("_ts_off").isNotNull(), F.col("_ts_w") - F.col("_ts_off") * 60)
-        .when(~F.col("_ts_own") & F.col("_ts_region").isNotNull(), regional)
+        .when(F.col("_ts_region").isNotNull(), regional)
     )
-    return df.withColumn(out, instant.cast("bigint")).drop("_ts_c", "_ts_y", "_ts_mo", "_ts_d", "_ts_h", "_ts_mi", "_ts_s", "_ts_w", "_ts_zone", "_ts_off", "_ts_own", "_ts_region", "_ts_a", "_ts_b")
+    return df.withColumn(out, instant.cast("bigint")).drop("_ts_p", "_ts_z", "_ts_hit", "_ts_y", "_ts_mo", "_ts_d", "_ts_h", "_ts_mi", "_ts_s", "_ts_w", "_ts_zone", "_ts_off", "_ts_own", "_ts_region", "_ts_a", "_ts_b")
 
 
 #: Calendar dates, whatever follows them.
@@ -128,17 +137,18 @@ DATES = (
 )
 
 
-def calendar_day(text: Column) -> Column:
-    """Days since 1970-01-01 of the date a text begins with, zone or not; null without a valid date."""
+def with_calendar_day(df: DataFrame, text: str, out: str = "day") -> DataFrame:
+    """Adds `out`: days since 1970-01-01 of the date a text begins with, zone or not; null without a valid date."""
     slots = ("y", "mo", "mon", "d")
     pattern = r"(?is)^\s*(?:" + "|".join(p.format(i=i) for i, p in enumerate(DATES)) + r")(?!\d).*$"
     fill = "#|" + "|".join("".join(f"${{{slot}{i}}}" for i, p in enumerate(DATES) if f"(?<{slot}{{i}}>" in p) for slot in slots)
-    parts = F.split(F.regexp_replace(F.substring(text, 1, 80), F.lit(pattern), F.lit(fill)), r"\|")
-    y, mo, d = (F.get(parts, F.lit(i)).try_cast("bigint") for i in (1, 2, 4))
-    y = y + F.when(F.length(F.get(parts, F.lit(1))) == 2, 2000).otherwise(0)
-    name = F.get(parts, F.lit(3))
-    mo = F.when(name != "", ((F.instr(F.lit("".join(MONTHS)), F.lower(F.substring(name, 1, 3))) + 2) / 3).cast("bigint")).otherwise(mo)
-    return F.when((parts[0] == "#") & mo.between(1, 12) & d.between(1, month_length(y, mo)), days_from_civil(y, mo, d))
+    df = bind(df, _ts_p=F.split(F.regexp_replace(F.ltrim(F.col(text)), F.lit(pattern), F.lit(fill)), r"\|"))
+    part = lambda i: F.when(F.get("_ts_p", F.lit(0)) == "#", F.get("_ts_p", F.lit(i)))
+    y = part(1).try_cast("bigint") + F.when(F.length(part(1)) == 2, 2000).otherwise(0)
+    mo = F.when(part(3) != "", ((F.instr(F.lit("".join(MONTHS)), F.lower(F.substring(part(3), 1, 3))) + 2) / 3).cast("bigint")).otherwise(part(2).try_cast("bigint"))
+    df = bind(df, _ts_y=y, _ts_mo=mo, _ts_d=part(4).try_cast("bigint"))
+    y, mo, d = F.col("_ts_y"), F.col("_ts_mo"), F.col("_ts_d")
+    return df.withColumn(out, F.when(mo.between(1, 12) & d.between(1, month_length(y, mo)), days_from_civil(y, mo, d))).drop("_ts_p", "_ts_y", "_ts_mo", "_ts_d")
 
 
 def iso_text(seconds: Column) -> Column:

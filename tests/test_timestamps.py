@@ -69,4 +69,11 @@ def test_empty(spark):
 
 @pytest.mark.parametrize("text,day", [("2024-08-01 20:00", 19936), ("01.08.2024", 19936), ("1 Aug 2024 9:00 PM", 19936), ("20240801T000000", 19936), ("30.02.2024", None), ("1722525300", None), ("?", None)])
 def test_calendar_day(spark, text, day):
-    assert spark.range(1).select(timestamps.calendar_day(F.lit(text)).alias("d")).first().d == day
+    df = spark.createDataFrame([(text, 7)], "text string, y int")
+    assert [tuple(r) for r in timestamps.with_calendar_day(df, "text", "d").collect()] == [(text, 7, day)]
+
+
+def test_no_length_is_too_long(spark):
+    rows = [(n, "2024-05-06" + " " * n + "07:08" + " " * n + "UTC") for n in (1, 59, 5000, 300_000)] + [(-1, "x" * 200_000), (-2, "2024-05-06 " + "0" * 100_000)]
+    got = {r.n: r.instant_s for r in timestamps.to_instant(spark.createDataFrame(rows, "n int, text string"), "text").collect()}
+    assert got == {n: 1714979280 if n > 0 else None for n, _ in rows}
