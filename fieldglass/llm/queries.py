@@ -55,7 +55,7 @@ ATTRIBUTES = ["home", "away", "home_text", "away_text", "instants", "days", "com
 def match_records(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """One record per match id: teams and competition of its last delivery, instants and days of all."""
     rows = with_classes(rows.withColumn("id", uuid_hex(F.col("match_id"))).filter("id is not null"), classes, ["root", "text"])
-    rows = rows.withColumn("day", F.coalesce(F.floor(F.col("instant_s") / 86400).cast("bigint"), timestamps.calendar_day(F.col("scheduled_kickoff"))))
+    rows = timestamps.with_calendar_day(rows, "scheduled_kickoff").withColumn("day", F.coalesce(F.floor(F.col("instant_s") / 86400).cast("bigint"), "day"))
     last = lambda c: F.max_by(c, F.struct("updated_at", "match_row"))
     said = F.max_by("competition", F.when(F.col("competition").isNotNull(), F.struct("updated_at", "match_row")))
     picks = {"source": last("source"), "home": last("home_root"), "away": last("away_root"), "home_text": last("home_text"), "away_text": last("away_text")}
