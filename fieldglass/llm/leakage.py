@@ -6,7 +6,9 @@ side. Of any two neighbouring shingles of an item the rarer in the corpus is
 therefore enough to look for: these are the item's prefix. Documents are
 scanned once; what they share with the items' shingles is counted (rarity),
 joined with the prefixes, bounded by position (both shingles on one diagonal),
-and verified word by word over item-sized windows.
+and verified word by word over item-sized windows. Items, shingles and
+candidates are tables; only where the items' distinct shingles are few enough
+are they broadcast, to leave the others out of the scan's output.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,7 @@ _TABLE = _UNSEEN | {ord(a): b for a, b in LOOKALIKES.items()}
 _INLINE = re.compile(r"</?(?:a|abbr|b|code|em|font|i|mark|s|small|span|strong|sub|sup|u|wbr)\b[^<>]*>", re.I)
 _TAG = re.compile(r"<[/!]?[a-zA-Z][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
+_WRITTEN = re.compile(r"[^\W_]+(?:[-\u2010-\u2015'’][^\W_]+)*")
 
 
 def visible(text: str | None) -> str:
@@ -60,25 +64,39 @@ def word_numbers(text: str | None) -> list[int]:
     return out
 
 
+_hashes: dict[str, int] = {}
+
+
+def word_ids(ws: list[str]) -> np.ndarray:
+    """A 64-bit number of every word, kept for words already met."""
+    if len(_hashes) > 1_000_000:
+        _hashes.clear()
+    try:
+        return np.fromiter(map(_hashes.__getitem__, ws), dtype="int64", count=len(ws))
+    except KeyError:
+        for w in ws:
+            if w not in _hashes:
+                _hashes[w] = xxhash.xxh3_64_intdigest(w) >> 1
+        return np.fromiter(map(_hashes.__getitem__, ws), dtype="int64", count=len(ws))
+
+
 def shingle_keys(ids: np.ndarray) -> np.ndarray:
-    """A 64-bit key of every run of five word ids; 0 where an id is 0 (a word no item has)."""
+    """A 64-bit key of every run of five word ids."""
     n = len(ids) - SHINGLE + 1
     if n < 1:
         return np.empty(0, "int64")
     x = ids.astype("uint64")
-    key, known = np.zeros(n, "uint64"), np.ones(n, bool)
+    key = np.zeros(n, "uint64")
     with np.errstate(over="ignore"):
         for i in range(SHINGLE):
-            part = x[i : i + n]
-            key = (key ^ (part * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+            key = (key ^ (x[i : i + n] * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
             key ^= key >> np.uint64(29)
-            known &= part > 0
-    return np.where(known, np.maximum(key >> np.uint64(1), np.uint64(1)), 0).astype("int64")
+    return (key >> np.uint64(1)).astype("int64")
 
 
 def _numbers(seen: str) -> np.ndarray:
-    """For each word of a visible() text the number of the written word it is part of."""
-    counts = [1 if w.isalnum() else len(_WORD.findall(w)) for w in seen.split()]
+    """For each word of a visible() text the number of the written word it is part of: words joined by a hyphen or apostrophe are one, whatever else stands between others."""
+    counts = [1 if w.isalnum() else len(_WORD.findall(w)) for w in _WRITTEN.findall(seen)]
     return np.repeat(np.arange(len(counts), dtype="int32"), counts)
 
 
@@ -139,16 +157,33 @@ def _reach(doc: list[int], doc_numbers: list[int], item: list[int], numbers: lis
     return found
 
 
-def longest_run(doc: list[int], doc_numbers: list[int], item: list[int], numbers: list[int], d: int, i: int, least: int = 12, per: int = 10) -> int:
-    """Words of the longest run through document word d and item word i, which match, with at most one in `per` altered; 0 if under `least`.
+def most_altered(least: int, per: int) -> int:
+    """How many altered words a run must be allowed to have for every longer run to be found by a part of it.
+
+    Let a run of n words have m altered, m * per <= n, and let no two neighbouring untouched
+    stretches with the alteration between them make `least` words. Adding these up, first and last
+    stretch have (2 * per - least) * m words at least, and being under `least` each, m is bounded.
+    """
+    return max(1, 2 * (least - 1) // (2 * per - least)) if 2 * per > least else 1 << 30
+
+
+def run_through(doc: list[int], doc_numbers: list[int], item: list[int], numbers: list[int], d: int, i: int, least: int = 12, per: int = 10) -> int:
+    """Words of a run through document word d and item word i, which match, of `least` words or more with at most one in `per` altered; 0 if there is none.
 
     Altered means replaced, added or left out, counted in written words. A run begins and ends with words both have.
     """
-    most = (numbers[-1] + 1) // per
+    lo, hi, nd, ni = 0, 0, len(doc), len(item)
+    while i - lo > 0 and d - lo > 0 and item[i - lo - 1] == doc[d - lo - 1]:
+        lo += 1
+    while i + hi + 1 < ni and d + hi + 1 < nd and item[i + hi + 1] == doc[d + hi + 1]:
+        hi += 1
+    if (n := numbers[i + hi] - numbers[i - lo] + 1) >= least:
+        return n
+    most = min((numbers[-1] + 1) // per, most_altered(least, per))
     room = len(item) + most  # written words of the document that can matter on a side
-    lo, hi = bisect_left(doc_numbers, doc_numbers[d] - room), bisect_right(doc_numbers, doc_numbers[d] + room)
-    ends = _reach(doc[d:hi], doc_numbers[d:hi], item[i:], numbers[i:], most)
-    starts = _reach(doc[lo:d][::-1], doc_numbers[lo:d][::-1], item[:i][::-1], numbers[:i][::-1], most)
+    first, last = bisect_left(doc_numbers, doc_numbers[d] - room), bisect_right(doc_numbers, doc_numbers[d] + room)
+    ends = _reach(doc[d:last], doc_numbers[d:last], item[i:], numbers[i:], most)
+    starts = _reach(doc[first:d][::-1], doc_numbers[first:d][::-1], item[:i][::-1], numbers[:i][::-1], most)
     best = 0
     for x, s in enumerate(starts):
         for y, t in enumerate(ends):
@@ -158,40 +193,54 @@ def longest_run(doc: list[int], doc_numbers: list[int], item: list[int], numbers
     return best
 
 
-def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 12, per: int = 10, most_items: int = 200_000) -> DataFrame:
-    """(doc_id, item_id, words): documents that hold `least` or more consecutive words of an item, at most one in `per` altered, with the longest run's length.
+def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 12, per: int = 10, known_keys: int = 1_000_000) -> DataFrame:
+    """(doc_id, item_id, words): documents that hold `least` or more consecutive words of an item, at most one in `per` altered, with the length of a run found.
 
     Null and empty texts on either side leak nothing; items under `least` words
     neither. Repeated documents come out once per id and row content; items of
-    equal text are each reported. The items are the held-out set: they are
-    collected once, at most `most_items` of them (more raise an error: split
-    the set, its parts are independent). Whole texts are scanned, all documents
-    counted. Other columns are ignored.
+    equal text are each reported. Whole texts are scanned, all documents
+    counted. Up to known_keys distinct shingles of items are broadcast (8 bytes
+    each, and 20 for the items' words beside them) and shingles no item has dropped in the scan; beyond that all of a
+    document's shingles go to the join, and items to a shuffle. Other columns are ignored.
     """
     spark = documents.sparkSession
-    rows = items.select(F.col(item_id).cast("bigint"), F.col(item_text)).filter(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).limit(most_items + 1).collect()
-    if len(rows) > most_items:
-        raise ValueError(f"more than {most_items} items: split the held-out set")
-    spoken = {r[0]: (words(r[1]), word_numbers(r[1])) for r in sorted(rows)}
-    vocabulary = {w: n + 1 for n, w in enumerate(sorted({w for ws, _ in spoken.values() for w in ws}))}
-    numbered = {k: ([vocabulary[w] for w in ws], (nums if len(nums) == len(ws) else list(range(len(ws))))) for k, (ws, nums) in spoken.items()}
-    item_keys = [(k, int(p), int(s)) for k, (ids, _) in numbered.items() for p, s in enumerate(shingle_keys(np.array(ids)))]
-    known = np.unique(np.array([s for *_, s in item_keys], "int64"))
-    shared = spark.sparkContext.broadcast((vocabulary, known, numbered))  # bounded by most_items
+
+    def read_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ws, numbers = words(text.as_py()), word_numbers(text.as_py())
+                numbers = numbers if len(numbers) == len(ws) else list(range(len(ws)))
+                if ws and numbers[-1] + 1 >= least:
+                    ids = word_ids(ws)
+                    out.append((key, ids.tobytes(), np.array(numbers, "int32").tobytes(), shingle_keys(ids).tolist()))
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)], names=["item", "wanted", "numbers", "keys"])
+
+    held = cut(items.select(F.col(item_id).cast("bigint").alias("item"), F.col(item_text)).dropna().mapInArrow(read_items, "item bigint, wanted binary, numbers binary, keys array<bigint>"))
+    index = held.select("item", F.posexplode("keys").alias("pos", "key"))
+    distinct = index.select("key").distinct()
+    few = distinct.limit(known_keys + 1).count() <= known_keys
+    shared = spark.sparkContext.broadcast(np.sort(np.array([r.key for r in distinct.collect()], "int64")) if few else None)  # bounded by known_keys
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, keys, _ = shared.value
-        get = number.get
+        keys = shared.value
         for batch in batches:
             ids_out, hit_out, at_out, doc_out, num_out = [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 seen = visible(text.as_py())
-                ids = np.fromiter((get(w, 0) for w in _WORD.findall(seen)), dtype="int32")
+                ids = word_ids(_WORD.findall(seen))
                 found = shingle_keys(ids)
-                if not len(found) or not len(keys):
+                if not len(found) or (keys is not None and not len(keys)):
                     continue
-                spot = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                at = np.flatnonzero(keys[spot] == found)
+                if keys is None:
+                    at = np.arange(len(found))
+                else:
+                    spot = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+                    hit = keys[spot] == found
+                    side = np.zeros(len(hit) + 2, bool)
+                    side[1:-1] = hit
+                    at = np.flatnonzero(hit & (side[:-2] | side[2:]))  # six untouched words are two shingles side by side
                 if len(at):
                     ids_out.append(key)
                     hit_out.append(found[at])
@@ -200,40 +249,39 @@ def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", doc
                     num_out.append(np.packbits(np.diff(_numbers(seen), prepend=-1) > 0).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids_out, pa.int64()), pa.array(hit_out, pa.list_(pa.int64())), pa.array(at_out, pa.list_(pa.int32())), pa.array(doc_out, pa.binary()), pa.array(num_out, pa.binary())], names=["doc", "hits", "at", "ids", "begins"])
 
-    touched = cut(documents.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(doc_text)).dropna().mapInArrow(scan, "doc bigint, hits array<bigint>, at array<int>, ids binary, begins binary"))
-    rarity = touched.select(F.explode(F.array_distinct("hits")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("df"))
-    index = spark.createDataFrame(item_keys, "item bigint, pos int, key bigint").join(rarity, "key", "left").fillna(0, ["df"])
+    touched = cut(documents.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(doc_text)).dropna().mapInArrow(scan, "doc bigint, hits array<bigint>, at array<int>, ids binary, begins binary").withColumn("copy", F.xxhash64("doc", "ids")))
+    spread = touched.select("doc", "copy", F.posexplode("hits").alias("n", "key"), "at").select("doc", "copy", "key", F.expr("element_at(at, n + 1)").alias("d"))
+    rarity = spread.join(distinct, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    index = index.join(rarity, "key", "left").fillna(0, ["df"])
     after = index.select("item", (F.col("pos") - 1).alias("pos"), F.col("key").alias("key2"), F.col("df").alias("df2"))
     # of two neighbours the rarer is looked for; an item's prefix is the set of these
     pairs = index.join(after, ["item", "pos"])
     first = F.struct("df", "key") <= F.struct("df2", "key2")
     prefix = pairs.select("item", F.when(first, F.col("pos")).otherwise(F.col("pos") + 1).alias("pos"), F.when(first, F.col("key")).otherwise(F.col("key2")).alias("key")).distinct()
-    hits = touched.select("doc", F.posexplode("hits").alias("n", "key"), "at").select("doc", "key", F.expr("element_at(at, n + 1)").alias("d"))
-    candidates = hits.join(prefix, "key").groupBy("doc", "item").agg(F.collect_set(F.struct("d", "pos")).alias("anchors"))
-    found = candidates.join(touched.select("doc", "ids", "begins"), "doc")
+    candidates = spread.join(prefix, "key").groupBy("doc", "copy", "item").agg(F.collect_set(F.struct("d", "pos")).alias("anchors"))
+    asked = held.select("item", "wanted", "numbers").dropDuplicates()
+    # the items' words are joined before the documents': these are the larger
+    found = candidates.join(F.broadcast(asked) if few else asked, "item").join(touched.select("doc", "copy", "ids", "begins"), ["doc", "copy"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, _, all_items = shared.value
         for batch in batches:
             out = []
-            for doc, item, anchors, raw, begins in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                ids, (wanted, numbers) = np.frombuffer(raw, "int32").tolist(), all_items[item]
-                if numbers[-1] + 1 < least:
-                    continue
+            for doc, item, anchors, raw, begins, want, nums in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                ids, wanted, numbers = np.frombuffer(raw, "int64").tolist(), np.frombuffer(want, "int64").tolist(), np.frombuffer(nums, "int32").tolist()
                 doc_numbers = np.cumsum(np.unpackbits(np.frombuffer(begins, "uint8"), count=len(ids))).tolist()
-                best, tried = 0, {}  # diagonal: where the last stretch tried ends
+                tried: dict[int, int] = {}  # diagonal: where the last stretch tried ends
                 for a in sorted(anchors, key=lambda x: (x["d"], x["pos"])):
                     d, i = a["d"], a["pos"]
-                    if best < numbers[-1] + 1 and i >= tried.get(d - i, 0):
-                        neighbour = (i + SHINGLE < len(wanted) and d + SHINGLE < len(ids) and ids[d + SHINGLE] == wanted[i + SHINGLE]) or (i > 0 and d > 0 and ids[d - 1] == wanted[i - 1])
-                        if neighbour and ids[d : d + SHINGLE] == wanted[i : i + SHINGLE]:
-                            best = max(best, longest_run(ids, doc_numbers, wanted, numbers, d, i, least, per))
-                            e = i
-                            while e < len(wanted) and d - i + e < len(ids) and ids[d - i + e] == wanted[e]:
-                                e += 1
-                            tried[d - i] = e
-                if best:
-                    out.append((doc, item, best))
+                    if i < tried.get(d - i, 0) or ids[d : d + SHINGLE] != wanted[i : i + SHINGLE]:
+                        continue
+                    neighbour = (i + SHINGLE < len(wanted) and d + SHINGLE < len(ids) and ids[d + SHINGLE] == wanted[i + SHINGLE]) or (i > 0 and d > 0 and ids[d - 1] == wanted[i - 1])
+                    if neighbour and (n := run_through(ids, doc_numbers, wanted, numbers, d, i, least, per)):
+                        out.append((doc, item, n))
+                        break
+                    e = i
+                    while e < len(wanted) and d - i + e < len(ids) and ids[d - i + e] == wanted[e]:
+                        e += 1
+                    tried[d - i] = e
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(3)], names=["doc_id", "item_id", "words"])
 
-    return found.select("doc", "item", "anchors", "ids", "begins").mapInArrow(verify, "doc_id bigint, item_id bigint, words bigint").distinct()
+    return found.select("doc", "item", "anchors", "ids", "begins", "wanted", "numbers").mapInArrow(verify, "doc_id bigint, item_id bigint, words bigint").distinct()
