@@ -1,7 +1,8 @@
 """Splitting oversized texts at natural boundaries.
 
 Possible cuts are the ends of paragraphs, lines and sentences, and where these
-lie far apart also clauses, words and pre-tokens. Dynamic programming over the
+lie far apart also those of clauses, and of words and pre-tokens on a fine grid.
+Dynamic programming over the
 cuts finds the pieces with the least sum of cut penalties and size imbalance
 under the limit, with the overlap counted in. Texts with like numbers of cuts
 are solved together, one numpy step for all of them.
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldglass.llm.tokens import PART, counter, default_path
+from fieldglass.llm.tokens import Counter, counter, default_path
 
 #: Penalties of cutting at a paragraph, line, sentence, clause, word, or elsewhere; weight of the imbalance.
 PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, INSIDE = 0.0, 0.5, 1.0, 2.0, 4.0, 8.0
@@ -31,14 +32,18 @@ _COMMAS = np.array([ord(c) for c in ",;:|"], dtype="uint32")
 
 
 class Prepared:
-    """A text with what all limits share: parts, running sums of tokens and characters, and its natural cuts."""
-
-    def __init__(self, number: int, text: str, parts: list[str], counts: np.ndarray, lengths: np.ndarray) -> None:
-        self.number, self.parts = number, parts
+    """A text with what all limits share: parts, running sums of tokens and characters, and its natural cuts. `whole` is its size; `halved` tells that a pre-token was cut, so that sums of its parts' tokens are no exact sizes."""
+
+    def __init__(self, number: int, text: str, count: Counter, most: int) -> None:
+        pretokens = count.pretokens(text)
+        sizes = count.counts(pretokens)
+        self.number, self.text, self.whole, self.one, self.count = number, text, int(sizes.sum()), count.one, count.count
+        parts, counts, self.halved = count.parts(pretokens, sizes, most)
+        self.parts = parts
         n = len(parts)
         self.tokens, self.chars = np.zeros(n + 1, "int64"), np.zeros(n + 1, "int64")
         np.cumsum(counts, out=self.tokens[1:])
-        np.cumsum(lengths, out=self.chars[1:])
+        np.cumsum(np.fromiter(map(len, parts), dtype="int64", count=n), out=self.chars[1:])
         at, cost = [], []
         for m in _BREAK.finditer(text):
             e, lines = m.end(), m.group().count("\n")
@@ -63,21 +68,39 @@ class Prepared:
         return self._inner
 
     def cuts(self, step: int) -> tuple[np.ndarray, np.ndarray]:
-        """(indices, penalties): cuts before parts[i], in order, from 0 to the end. Where natural cuts are more than step tokens apart, the cheapest (of equals the last) of every step / 8 tokens joins them."""
+        """(indices, penalties): cuts before parts[i], in order, from 0 to the end.
+
+        Where natural cuts are more than step tokens apart, the ends of clauses
+        between them join in, and of all other boundaries the cheapest (of equals
+        the last) of every step / 16 tokens: being equal in penalty, they differ
+        from those left out by that much imbalance at most.
+        """
         at = self.tokens[self.index]
         wide = np.flatnonzero(np.diff(at) > step)
         if not len(wide):
             return self.index, self.cost
         more = np.concatenate([np.arange(self.index[w] + 1, self.index[w + 1]) for w in wide])
         gap = np.repeat(wide, self.index[wide + 1] - self.index[wide] - 1)
-        price, stretch = self.inner()[more], self.tokens[more] * 8 // step
+        price, stretch = self.inner()[more], self.tokens[more] * 16 // step
         order = np.lexsort((-more, price, stretch, gap))
         same = (np.diff(gap[order]) == 0) & (np.diff(stretch[order]) == 0)
         picked = order[np.concatenate([[True], ~same])] if len(order) else order
+        picked = np.union1d(picked, np.flatnonzero(price <= CLAUSE))
         index, cost = np.concatenate([self.index, more[picked]]), np.concatenate([self.cost, price[picked]])
         order = np.argsort(index, kind="stable")
         return index[order], cost[order]
 
+    def ends(self, index: np.ndarray) -> np.ndarray:
+        """Tokens up to each cut of a piece that ends there: white space at its end is one pre-token then."""
+        out = self.tokens[index].copy()
+        for k, b in enumerate(index.tolist()):
+            if b > 1 and self.parts[b - 1].isspace() and self.parts[b - 2].isspace():
+                e = b
+                while e > 0 and self.parts[e - 1].isspace():
+                    e -= 1
+                out[k] = self.tokens[e] + self.one("".join(self.parts[e:b]))
+        return out
+
 
 def solve(ends: list[np.ndarray], starts: list[np.ndarray], costs: list[np.ndarray], limit: int, overlap: int) -> list[list[int]]:
     """For each text the cuts of the best pieces, as positions in its lists (the last included).
@@ -117,32 +140,50 @@ def solve(ends: list[np.ndarray], starts: list[np.ndarray], costs: list[np.ndarr
     return out
 
 
-def pieces(n_texts: int, prepared: list[Prepared], limit: int, overlap: int, one) -> list[list[tuple[int, int, int]]]:  # noqa: ANN001
-    """(start, end, tokens) in characters of the pieces of each text over the limit. one: counts the tokens of a pre-token."""
-    if limit <= overlap + 2 * PART:
-        raise ValueError("the limit must exceed the overlap by two parts at least")
-    out: list[list[tuple[int, int, int]]] = [[] for _ in range(n_texts)]
-    todo, ends, starts, costs = [], [], [], []
-    for p in prepared:
-        if p.tokens[-1] <= limit:
-            continue
-        index, cost = p.cuts(max(PART, (limit - overlap) // 4))
-        begin = np.maximum(np.searchsorted(p.tokens, p.tokens[index] - overlap, side="right") - 1, 0) if overlap else index.copy()
+def _solved(todo: list[Prepared], limit: int, overlap: int) -> list[list[tuple[int, int, int]]]:
+    """(start, end, tokens) in characters of the pieces of each text."""
+    index, costs, ends, begins = [], [], [], []
+    for p in todo:
+        at, cost = p.cuts(max(1, (limit - overlap) // 4))
+        end = p.ends(at)
+        begin = np.maximum(np.searchsorted(p.tokens, end - overlap, side="right") - 1, 0) if overlap else at.copy()
         begin[0] = 0
-        todo.append((p, index, begin))
-        ends.append(p.tokens[index])
-        starts.append(p.tokens[begin])
+        index.append(at)
         costs.append(cost)
-    for (p, index, begin), cuts in zip(todo, solve(ends, starts, costs, limit, overlap), strict=True):
-        last = 0
+        ends.append(end)
+        begins.append(begin)
+    out = []
+    for p, at, end, begin, cuts in zip(todo, index, ends, begins, solve(ends, [p.tokens[b] for p, b in zip(todo, begins, strict=True)], costs, limit, overlap), strict=True):
+        found, last = [], 0
         for j in cuts:
-            a, b = int(begin[last]), int(index[j])
-            end = b
-            while end > a and p.parts[end - 1].isspace():
-                end -= 1
-            tail = one("".join(p.parts[end:b])) if b - end > 1 else int(p.tokens[b] - p.tokens[end])  # space at the end of a piece is one pre-token
-            out[p.number].append((int(p.chars[a]), int(p.chars[b]), int(p.tokens[end] - p.tokens[a]) + tail))
+            a, b = int(begin[last]), int(at[j])
+            found.append((int(p.chars[a]), int(p.chars[b]), int(end[j] - p.tokens[a])))
             last = j
+        out.append(found)
+    return out
+
+
+def pieces(n_texts: int, prepared: list[Prepared], limit: int, overlap: int) -> list[list[tuple[int, int, int]]]:
+    """(start, end, tokens) in characters of the pieces of each text over the limit; tokens as the piece has them by itself.
+
+    Texts with a pre-token cut inside are measured again piece by piece, and
+    solved again with a little less room or more overlap until all fit.
+    """
+    if limit - overlap < 8:
+        raise ValueError("the limit must exceed the overlap by eight tokens at least")
+    out: list[list[tuple[int, int, int]]] = [[] for _ in range(n_texts)]
+    todo = [p for p in prepared if p.whole > limit]
+    for p, found in zip(todo, _solved(todo, limit, overlap), strict=True):
+        less = more = 0
+        while p.halved:
+            found = [(a, b, p.count(p.text[a:b])) for a, b, _ in found]
+            large = max(n for *_, n in found) > limit
+            short = any(p.count(p.text[y[0] : x[1]]) < overlap for x, y in zip(found, found[1:], strict=False)) if overlap else False
+            if not (large or short) or limit - less - overlap - more <= 8:
+                break
+            less, more = less + large, more + short
+            (found,) = _solved([p], limit - less, overlap + more)
+        out[p.number] = found
     return out
 
 
@@ -152,12 +193,15 @@ def split(documents: DataFrame, limits: list[tuple[int, int, int]], *, key: str
     Consecutive pieces share the stated overlap: the later one begins at the
     last pre-token that gives at least that many common tokens. Together the
     pieces cover the whole text. Texts within the limit, empty and null ones
-    give no rows; repeated rows are split alike. Pieces never exceed the limit,
-    counting pre-tokens; a pre-token of over 64 characters may be cut, and a
-    cut inside one can change its count when a piece is tokenized by itself.
+    give no rows; repeated rows are split alike. Sizes are those of texts and
+    pieces tokenized by themselves. Only a pre-token of more tokens than an
+    eighth of the room (limit less overlap, of the tightest limit) is ever cut
+    inside. A limit must exceed its overlap by eight tokens, as a character may
+    have four.
     """
     path = path or default_path()
     limits = sorted(limits)
+    most = min((max(4, (limit - overlap) // 8) for _, limit, overlap in limits), default=4)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
@@ -168,9 +212,9 @@ def split(documents: DataFrame, limits: list[tuple[int, int, int]], *, key: str
                 prepared = []
                 for i, t in enumerate(texts):
                     if limits and len(t.encode()) > min(x[1] for x in limits):  # a token has a byte at least
-                        prepared.append(Prepared(i, t, *count.parts(t)))
+                        prepared.append(Prepared(i, t, count, most))
                 for limit_id, limit, overlap in limits:
-                    rows = [(limit_id, keys[i], k, a, z, n, texts[i][a:z]) for i, found in enumerate(pieces(len(texts), prepared, limit, overlap, count.one)) for k, (a, z, n) in enumerate(found)]
+                    rows = [(limit_id, keys[i], k, a, z, n, texts[i][a:z]) for i, found in enumerate(pieces(len(texts), prepared, limit, overlap)) for k, (a, z, n) in enumerate(found)]
                     kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)], names=["limit_id", key, "piece", "start_char", "end_char", "tokens", "piece_text"])
 

@@ -17,9 +17,8 @@ import numpy as np
 #: The tokenizer's pre-token pattern (a fixed value), and the same in the standard library's syntax.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-#: Longest text a pre-token may have before it is cut into parts of that length.
-PART = 64
-KEPT = 2_000_000
+#: How many pre-tokens' counts a worker keeps, and up to which length.
+KEPT, SHORT = 2_000_000, 64
 
 
 def default_path() -> str:
@@ -64,6 +63,8 @@ class Counter:
         n = self.known.get(pretoken)
         if n is None:
             n = len(self.encoding.encode_ordinary(pretoken))
+            if len(pretoken) > SHORT:
+                return n
             if len(self.known) >= KEPT:
                 self.known.clear()
             self.known[pretoken] = n
@@ -80,14 +81,21 @@ class Counter:
             return 0
         return int(self.counts(self.pretokens(text)).sum())
 
-    def parts(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Pre-tokens, the longest cut into parts, with their token counts and lengths."""
-        p = self.pretokens(text)
-        size = np.fromiter(map(len, p), dtype="int64", count=len(p))
-        if len(p) and size.max() > PART:
-            p = [x[i : i + PART] for x in p for i in range(0, len(x), PART)]
-            size = np.fromiter(map(len, p), dtype="int64", count=len(p))
-        return p, self.counts(p), size
+    def parts(self, pretokens: list[str], counts: np.ndarray, most: int) -> tuple[list[str], np.ndarray, bool]:
+        """Pre-tokens with their counts, those of more than `most` tokens halved until no part has more; and whether any was."""
+        if not len(counts) or counts.max() <= most:
+            return pretokens, counts, False
+        out: list[str] = []
+        for p, n in zip(pretokens, counts.tolist(), strict=True):
+            todo = [(p, n)]
+            while todo:
+                x, n = todo.pop()
+                if n <= most or len(x) < 2:
+                    out.append(x)
+                else:
+                    half = len(x) // 2
+                    todo += [(y, self.one(y)) for y in (x[half:], x[:half])]
+        return out, self.counts(out), True
 
 
 @lru_cache(4)
