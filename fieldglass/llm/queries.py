@@ -151,16 +151,23 @@ def source_trust() -> F.Column:
     return F.coalesce(*[F.when(status == k, v) for k, v in TRUST.items()], F.lit(0))
 
 
+def collected_us() -> F.Column:
+    return F.unix_micros(F.col("collected_at").cast("timestamp"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Votes halve 20 times a microsecond and a step of trust is worth 2^60: the latest row of the most trusted source outvotes all others together."""
     fields = {"home_ppg": bounded("home_ppg", 0, 3), "sample_size_home": bounded("sample_size_home", 0)}
-    best = survivors.survivors(feature_groups(spark, d), ["id", "scope"], fields, trust=source_trust(), at_us=F.unix_micros(F.col("collected_at").cast("timestamp")), row="feature_row", least_rows=2)
+    bits = source_trust().cast("bigint") * F.lit(1 << 60) + collected_us() * 20
+    best = survivors.survivors(feature_groups(spark, d), ["id", "scope"], fields, trust=source_trust(), at_us=collected_us(), bits=bits, scale=0, row="feature_row", least_rows=2)
     return best.select(uuid_text(F.col("id")).alias("match_id"), F.col("scope").alias("feature_scope"), F.coalesce("home_ppg_row", F.lit(0)).cast("bigint").alias("ppg_feature_row"), F.coalesce("sample_size_home_row", F.lit(0)).cast("bigint").alias("sample_feature_row"))
 
 
 def p5_golden(spark: SparkSession, d: str) -> DataFrame:
     """One row per match and scope by weighted votes: trust times a half-life of three days, summed per value."""
     fields = {"home_ppg": bounded("home_ppg", 0, 3), "away_ppg": bounded("away_ppg", 0, 3), "sample_size_home": bounded("sample_size_home", 0), "sample_size_away": bounded("sample_size_away", 0)}
-    best = survivors.survivors(feature_groups(spark, d), ["id", "scope"], fields, trust=source_trust() + 1, at_us=F.unix_micros(F.col("collected_at").cast("timestamp")), row="feature_row", half_life_days=3.0)
+    bits = survivors.log_vote(F.log2(source_trust() + F.lit(1.0)), collected_us(), 3 * 86_400e6)
+    best = survivors.survivors(feature_groups(spark, d), ["id", "scope"], fields, trust=source_trust(), at_us=collected_us(), bits=bits, row="feature_row")
     return best.select(uuid_text(F.col("id")).alias("match_id"), F.col("scope").alias("feature_scope"), "n_rows", *[F.col(f).cast("double").alias(f) for f in fields])
 
 
@@ -198,6 +205,17 @@ _FEATURES = f"""
 f AS (SELECT *, {_HEX} AS id, regexp_replace(lower(trim(feature_scope)), '[\\s\\-_]+', '_', 'g') AS scope,
   CASE lower(trim(source_status)) WHEN 'pre-match' THEN 3 WHEN 'live' THEN 2 WHEN 'finished' THEN 1 ELSE 0 END AS trust FROM features),
 g AS (SELECT * FROM f WHERE id <> '' AND scope IN ('home_away', 'all_games', 'last_8'))"""
+_VOTES = """
+x AS (SELECT id, scope, field, v, trust, collected_at, feature_row FROM (UNPIVOT (SELECT id, scope, trust, collected_at, feature_row,
+    CASE WHEN NOT isnan(home_ppg) AND home_ppg BETWEEN 0 AND 3 THEN home_ppg END AS home_ppg, CASE WHEN NOT isnan(away_ppg) AND away_ppg BETWEEN 0 AND 3 THEN away_ppg END AS away_ppg,
+    CAST(CASE WHEN sample_size_home >= 0 THEN sample_size_home END AS DOUBLE) AS sample_size_home, CAST(CASE WHEN sample_size_away >= 0 THEN sample_size_away END AS DOUBLE) AS sample_size_away FROM g)
+    ON home_ppg, away_ppg, sample_size_home, sample_size_away INTO NAME field VALUE v)),
+u AS (SELECT id, scope, field, v, trust, collected_at, min(feature_row) AS feature_row FROM x GROUP BY ALL),
+w AS (SELECT *, log2(trust + 1.0) + epoch_us(collected_at) / 259200000000.0 AS bits FROM u),
+s AS (SELECT *, max(bits) OVER (PARTITION BY id, scope, field) AS top FROM w),
+per AS (SELECT id, scope, field, v, round(sum(pow(2.0, bits - top)), 4) AS votes, max((trust, collected_at, -feature_row)) AS best FROM s GROUP BY ALL),
+won AS (SELECT id, scope, field, arg_max(v, (votes, best)) AS v FROM per GROUP BY ALL),
+n AS (SELECT id, scope, count(*) AS n_rows FROM g GROUP BY ALL)"""
 _TEXT_ID = "regexp_replace(id, '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5')"
 SQL: dict[str, str] = {
     "p5_found": f"""
@@ -206,4 +224,9 @@ SELECT {_TEXT_ID} AS match_id, scope AS feature_scope,
   coalesce(arg_max(feature_row, (trust, collected_at, -feature_row)) FILTER (WHERE NOT isnan(home_ppg) AND home_ppg BETWEEN 0 AND 3), 0) AS ppg_feature_row,
   coalesce(arg_max(feature_row, (trust, collected_at, -feature_row)) FILTER (WHERE sample_size_home >= 0), 0) AS sample_feature_row
 FROM g GROUP BY id, scope HAVING count(*) >= 2""",
+    "p5_golden": f"""
+WITH {_FEATURES}, {_VOTES}
+SELECT {_TEXT_ID} AS match_id, scope AS feature_scope, n_rows, max(v) FILTER (WHERE field = 'home_ppg') AS home_ppg, max(v) FILTER (WHERE field = 'away_ppg') AS away_ppg,
+  max(v) FILTER (WHERE field = 'sample_size_home') AS sample_size_home, max(v) FILTER (WHERE field = 'sample_size_away') AS sample_size_away
+FROM n LEFT JOIN won USING (id, scope) GROUP BY ALL""",
 }

@@ -3,8 +3,8 @@
 Fields are unpivoted to long rows. Every row votes for its normalised value
 with the trust in its source times a decay with age; votes are summed per
 value, the value with most votes wins, and the winners are pivoted back. All
-three steps are aggregations with map-side combining, so a group may hold any
-share of the rows.
+steps are aggregations with map-side combining, so a group may hold any share
+of the rows.
 """
 
 from __future__ import annotations
@@ -13,32 +13,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def survivors(df: DataFrame, keys: list[str], fields: dict[str, Column], *, trust: Column, at_us: Column, row: str, half_life_days: float | None = None, least_rows: int = 1) -> DataFrame:
+def log_vote(trust_bits: Column, at_us: Column, half_life_us: float, scale: int = 20) -> Column:
+    """log2 of trust times 2^(-age / half life) but for the group's own constant, in units of 2^-scale, as bigint; a null time counts as earliest."""
+    return F.coalesce((trust_bits * (1 << scale)).cast("bigint") + F.floor(at_us / (half_life_us / (1 << scale))).cast("bigint"), F.lit(-(2**62)))
+
+
+def survivors(df: DataFrame, keys: list[str], fields: dict[str, Column], *, trust: Column, at_us: Column, bits: Column, row: str, scale: int = 20, least_rows: int = 1) -> DataFrame:
     """One row per key: for each field `<field>_row`, the row that supplies the winning value, and `<field>`, that value.
 
     fields: normalised value by name, null where the row has none that is
-    valid. With half_life_days a value's votes are the sum of trust times
-    2^(-age / half life), age counted from the group's own latest row of the
-    field; the latest, then lowest row of the most trusted source supplies it.
-    Without it the limits are taken: trust outweighs any recency and the latest
-    outweighs all older together, so a value's votes compare as its best
-    (trust, time) and ties go to the lowest row. Fields without a valid value
-    are null. Rows with a null key are left out; a null trust counts as 0, a
-    null time as earliest; groups under least_rows rows are dropped; repeated
-    rows count as rows. Names beginning with `_v_` are used inside.
+    valid. bits: log2 of a row's vote in units of 2^-scale (see log_vote); only
+    differences within a group matter, so votes of any range are summed without
+    loss, relative to the group's greatest. Rows of one value with equal trust
+    and time are copies of one delivery and vote once. Votes equal to four
+    digits are a tie, which goes to the value with the most trusted, then
+    latest, then lowest row; the same order tells which row supplies a value.
+    Fields without a valid value are null. Rows with a null key are left out; a
+    null trust counts as 0, a null time as earliest; groups under least_rows
+    rows are dropped; repeated rows count as rows. Names beginning with `_v_`
+    are used inside.
     """
-    long = F.explode(F.array(*[F.struct(F.lit(n).alias("field"), v.cast("string").alias("value"), v.isNotNull().alias("has")) for n, v in fields.items()]))
-    base = df.select(*keys, trust.cast("double").alias("_v_t"), at_us.cast("bigint").alias("_v_us"), F.col(row).cast("bigint").alias("_v_row"), long.alias("_v_x")).dropna(subset=keys)
-    base = base.select(*keys, F.coalesce("_v_t", F.lit(0.0)).alias("_v_t"), F.coalesce("_v_us", F.lit(-(2**62))).alias("_v_us"), "_v_row", "_v_x.*")
-    if half_life_days is not None:
-        last = base.filter("has").groupBy(*keys, "field").agg(F.max("_v_us").alias("_v_last"))
-        # halving is on a per-group scale that any fixed origin gives too: 2^(-age) = 2^(t) / 2^(t_last)
-        base = base.join(last, [*keys, "field"], "left").withColumn("_v_w", F.col("_v_t") * F.pow(F.lit(2.0), (F.col("_v_us") - F.col("_v_last")) / (half_life_days * 86_400_000_000.0)))
-        vote = F.sum(F.when(F.col("has"), F.col("_v_w")))
-    else:
-        vote = F.lit(0.0)
-    best = F.max(F.when(F.col("has"), F.struct("_v_t", "_v_us", (-F.col("_v_row")).alias("_v_neg"))))
-    per_value = base.groupBy(*keys, "field", F.when(F.col("has"), F.col("value")).alias("value")).agg(vote.alias("_v_votes"), best.alias("_v_best"), F.count(F.lit(1)).alias("_v_n"))
+    long = F.explode(F.array(*[F.struct(F.lit(n).alias("field"), v.cast("string").alias("value")) for n, v in fields.items()]))
+    base = df.select(*keys, trust.cast("double").alias("_v_t"), at_us.cast("bigint").alias("_v_us"), bits.cast("bigint").alias("_v_bits"), F.col(row).cast("bigint").alias("_v_row"), long.alias("_v_x")).dropna(subset=keys)
+    least = F.lit(-(2**62))
+    base = base.select(*keys, F.coalesce("_v_t", F.lit(0.0)).alias("_v_t"), F.coalesce("_v_us", least).alias("_v_us"), F.coalesce("_v_bits", least).alias("_v_bits"), "_v_row", "_v_x.*")
+    sent = base.groupBy(*keys, "field", "value", "_v_t", "_v_us", "_v_bits").agg(F.min("_v_row").alias("_v_row"), F.count(F.lit(1)).alias("_v_n"))
+    top = sent.filter("value is not null").groupBy(*keys, "field").agg(F.max("_v_bits").alias("_v_top"))
+    sent = sent.join(top, [*keys, "field"], "left")
+    vote = F.round(F.sum(F.when(F.col("value").isNotNull(), F.pow(F.lit(2.0), (F.col("_v_bits") - F.col("_v_top")) / float(1 << scale)))), 4)
+    best = F.max(F.when(F.col("value").isNotNull(), F.struct("_v_t", "_v_us", (-F.col("_v_row")).alias("_v_neg"))))
+    per_value = sent.groupBy(*keys, "field", "value").agg(vote.alias("_v_votes"), best.alias("_v_best"), F.sum("_v_n").alias("_v_n"))
     winner = [F.max_by(F.struct("value", (-F.col("_v_best._v_neg")).alias("row")), F.when((F.col("field") == n) & F.col("_v_best").isNotNull(), F.struct("_v_votes", "_v_best"))).alias(f"_v_{n}") for n in fields]
     any_field = next(iter(fields))
     out = per_value.groupBy(*keys).agg(F.sum(F.when(F.col("field") == any_field, F.col("_v_n"))).alias("_v_rows"), *winner)
