@@ -97,7 +97,7 @@ def test_hot_keys_lose_no_pair(spark):
 def test_met_as(spark):
     rows = [("a", 1, "", 10), ("b", 1, "", 20), ("a", 2, "", 10), ("b", 2, "", 20), ("a", 3, "", 20), ("b", 3, "", 20), ("a", 3, "r", 30), ("b", 4, "", 40), ("a", None, "", 50), ("b", None, "", 20), ("a", 5, "", 60), ("b", 5, "", 20), ("a", 6, "", 60), ("b", 6, "", 70)]
     df = spark.createDataFrame(rows, "source string, slot bigint, side string, root bigint")
-    assert {tuple(r) for r in variants.met_as(df).collect()} == {(10, 20)}
+    assert {tuple(r) for r in variants.met_as(df).collect()} == {(10, 20), (70, 60)}  # 60 itself is torn between two
 
 
 def test_components(spark):
