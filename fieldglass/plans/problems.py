@@ -16,17 +16,7 @@ from fieldglass.session import table
 
 #: States of a record that no longer exists (fixed values).
 GONE = ("deleted", "removed", "purged")
-#: Names under which fields were seen to travel; approved for promotion (fixed values).
-APPROVED = {
-    "kickoff_utc": ["kickoff_utc.at", "ko_time_utc", "kickoffUtc", "start_at", "ko_time_utc.at", "kickoffUtc.at", "start_at.at"],
-    "lifecycle_state": ["lifecycle_state.state", "fixture_state", "state_now", "lifecycleState", "fixture_state.state", "state_now.state", "lifecycleState.state"],
-    "pre_match_eligible": ["usable_pre", "eligible_before_kickoff", "preMatchEligible"],
-    "result_snapshot_id": [f"{n}{e}" for e in ("", ".id", "[0]") for n in ("result_snapshot_id", "result_page_ref", "res_snap", "resultSnapshotId")],
-    "kickoff_confidence": ["kickoffConfidence", "time_trust"],
-    "result_collected": ["has_result"],
-    "detail_snapshot_path": ["detail_snapshot_path[0]", "detail_file", "detail_file[0]"],
-    "scope": ["index_scope"],
-}
+#: The target schema of the link files.
 LINK_FIELDS = {
     "match_id": "string", "competition": "string", "home_team": "string", "away_team": "string", "status": "string", "detail_url": "string", "scope": "string", "kickoff_utc": "string", "kickoff_confidence": "string",
     "lifecycle_state": "string", "pre_match_eligible": "boolean", "preview_collected": "boolean", "result_collected": "boolean", "result_snapshot_id": "string", "detail_snapshot_path": "string",
@@ -81,19 +71,31 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("src_table", "src_row", F.coalesce(timestamps.iso_text(F.col("instant_s")), F.lit("unresolved")).alias("kickoff_instant"))
 
 
+def link_table(spark: SparkSession, d: str) -> DataFrame:
+    return drift.ingest(table(spark, d, "link_lines"), LINK_FIELDS, rescue="rescued")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return drift.changes(table(spark, d, "link_lines")).select("feed", "run_no", "change", "field_before", "field_after")
+    return drift.changes(link_table(spark, d), LINK_FIELDS, rescue="rescued").select("feed", "run_no", "change", "field_before", "field_after")
 
 
 def p6_table(spark: SparkSession, d: str) -> DataFrame:
     """All link lines as one typed table; values no column holds stay in `rescued`."""
-    df = drift.ingest(table(spark, d, "link_lines"), LINK_FIELDS, rescue="rescued")
-    for column, names in APPROVED.items():
-        df = drift.promote(df, column, LINK_FIELDS[column], [f"$.{n}" for n in names], rescue="rescued")
+    df = link_table(spark, d)
+    for column, paths in drift.approved(df, LINK_FIELDS, rescue="rescued").items():
+        df = drift.promote(df, column, LINK_FIELDS[column], [f"$.{p}" for p in paths], rescue="rescued")
     return df.select("line_id", "feed", "run_no", *LINK_FIELDS, "rescued")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_by_period": p1_by_period, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_table": p6_table}
+def p6_kept(spark: SparkSession, d: str) -> DataFrame:
+    """By file, how many plain values its readable lines hold in the typed table, in columns or rescued: as many as in the raw lines."""
+    df = p6_table(spark, d)
+    typed = sum((F.col(c).isNotNull().cast("int") for c in LINK_FIELDS), F.lit(0))
+    left = F.when(~F.coalesce(F.col("rescued").startswith('{"_unreadable"'), F.lit(False)), F.regexp_count("rescued", F.lit(r'(?:[:\[,])(?:"(?:[^"\\\\]|\\\\.)*"(?=[,}\]])|true|false|-?[0-9])')))
+    return df.groupBy("feed", "run_no").agg(F.sum(typed + F.coalesce(left, F.lit(0))).cast("bigint").alias("n_values"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_by_period": p1_by_period, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_table": p6_table, "p6_kept": p6_kept}
 
 _HEX = "lower(regexp_replace({}, '^[\\s{{}}]+|[\\s{{}}]+$|-', '', 'g'))"
 _ID = "nullif(regexp_extract(" + _HEX + ", '^[0-9a-f]{{32}}$'), '')"
@@ -143,4 +145,5 @@ WITH v AS (SELECT {_ID.format('match_id')} AS k, feature_row, feature_cutoff, co
 SELECT l.link_row, arg_max(v.feature_row, (v.feature_cutoff, v.collected_at, -v.feature_row)) AS feature_row
 FROM fixture_links l JOIN v ON v.k = {_ID.format('l.match_id')} AND v.collected_at <= l.observed_at_utc AND v.feature_cutoff <= l.observed_at_utc GROUP BY l.link_row""",
     "p6_found": _P6,
+    "p6_kept": "SELECT feed, run_no, count(t.atom) FILTER (WHERE t.type NOT IN ('NULL', 'OBJECT', 'ARRAY')) AS n_values FROM link_lines LEFT JOIN LATERAL (SELECT atom, type FROM json_tree(CASE WHEN json_valid(payload) AND json_type(CASE WHEN json_valid(payload) THEN payload END) = 'OBJECT' THEN payload END)) t ON true GROUP BY ALL",
 }
