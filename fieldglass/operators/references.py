@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldglass.session import cut
+
 
 def _prefix(key_hex: Column) -> Column:
     """The first 60 bits of a hex key as a number: ranges are cut on it."""
@@ -69,12 +71,12 @@ def failing_references(refs: DataFrame, parents: DataFrame, *, carry: list[str],
         found = keys.agg(F.percentile_approx("p", [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges)).alias("b")).first().b
         bounds = sorted(set(found))
     judged = refs.filter("key_hex is not null").select(*carry, "ref_us", F.unhex("key_hex").alias("key"), _range_of(_prefix(F.col("key_hex")), bounds).alias("rng"))
-    sizes = {r.rng: r.n for r in judged.groupBy("rng").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = {k: -(-v // refs_per_block) for k, v in sizes.items()}
-    split = {k: v for k, v in blocks.items() if v > 1}
-    copies = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in split.items() for x in kv]), F.col("rng")), F.lit(1)) if split else F.lit(1)
-    judged = judged.withColumn("block", F.pmod(F.xxhash64(*carry), copies).cast("int"))
-    held = one.withColumn("rng", _range_of(F.col("prefix"), bounds)).drop("prefix").withColumn("block", F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))))
+    # a table of the ranges that fill several blocks: at most one row for every refs_per_block references
+    split = judged.groupBy("rng").agg(F.ceil(F.count(F.lit(1)) / refs_per_block).cast("int").alias("copies")).filter("copies > 1")
+    split = F.broadcast(cut(split)) if refs.count() // refs_per_block < 1_000_000 else cut(split)
+    copies = F.coalesce("copies", F.lit(1))
+    judged = judged.join(split, "rng", "left").withColumn("block", F.pmod(F.xxhash64(*carry), copies).cast("int")).drop("copies")
+    held = one.withColumn("rng", _range_of(F.col("prefix"), bounds)).drop("prefix").join(split, "rng", "left").withColumn("block", F.explode(F.sequence(F.lit(0), copies - 1))).drop("copies")
 
     def probe(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         known = _fixed(right.column("key"))
