@@ -16,15 +16,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldglass.session import cut
+
 _FIRST = -(2**63)
 
 
-def _slices(events: DataFrame, versions: DataFrame, hot: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+def _slices(events: DataFrame, versions: DataFrame, hot: DataFrame, hot_rows: int, small: bool) -> tuple[DataFrame, DataFrame]:
     """The hot entities' events and versions, keyed by entity, time slice and salt."""
     times = events.select("entity", "t").unionByName(versions.select("entity", F.col("usable").alias("t"))).join(hot, "entity")
     grid = times.groupBy("entity").agg(F.max("n").alias("n"), F.percentile_approx("t", [i / 1000 for i in range(1, 1000)], 10_000).alias("p"))
     # of the thousand quantiles, every k-th: about hot_rows rows to a slice (a slice of a larger entity is salted below)
-    cuts = grid.select("entity", F.array_distinct(F.expr(f"filter(p, (x, i) -> (i + 1) % greatest(1, cast(floor(1000 * {hot_rows} / n) as int)) = 0)")).alias("cuts"))
+    cuts = cut(grid.select("entity", F.array_distinct(F.expr(f"filter(p, (x, i) -> (i + 1) % greatest(1, cast(floor(1000 * {hot_rows} / n) as int)) = 0)")).alias("cuts")))
+    cuts = F.broadcast(cuts) if small else cuts  # a thousand numbers an entity at most
     place = lambda t: F.size(F.expr(f"filter(cuts, c -> c < {t})"))
     ev = events.join(cuts, "entity").withColumn("slice", place("t")).drop("cuts")
     ve = versions.join(cuts, "entity").withColumn("slice", place("usable")).drop("cuts")
@@ -41,7 +44,7 @@ def _slices(events: DataFrame, versions: DataFrame, hot: DataFrame, hot_rows: in
     return ev.select(name.alias("entity"), "event_id", "t"), ve.select(name.alias("entity"), "usable", "valid", "recorded", "neg_id")
 
 
-def as_of(events: DataFrame, versions: DataFrame, *, block_rows: int = 200_000, hot_rows: int = 200_000) -> DataFrame:
+def as_of(events: DataFrame, versions: DataFrame, *, block_rows: int = 200_000, hot_rows: int = 200_000, most_broadcast: int = 2_000) -> DataFrame:
     """(event_id, version_id) for every event that has a usable version.
 
     events: `entity` (string), `event_id` (bigint), `t` (microseconds).
@@ -57,8 +60,9 @@ def as_of(events: DataFrame, versions: DataFrame, *, block_rows: int = 200_000,
     counts = ev.select("entity").unionByName(ve.select("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > hot_rows).alias("hot")).first()
     if total.hot:
-        hot = counts.filter(F.col("n") > hot_rows)
-        hot_ev, hot_ve = _slices(ev, ve, hot, hot_rows)
+        hot = cut(counts.filter(F.col("n") > hot_rows))  # at most rows / hot_rows entities
+        hot = F.broadcast(hot) if total.hot <= most_broadcast else hot
+        hot_ev, hot_ve = _slices(ev, ve, hot, hot_rows, total.hot <= most_broadcast)
         ev = ev.join(hot, "entity", "left_anti").unionByName(hot_ev)
         ve = ve.join(hot, "entity", "left_anti").unionByName(hot_ve)
     blocks = max(1, -(-total.n // block_rows))
