@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names in spark.checkpoint.dir; only where it is unset make one of our own (tests)."""
+    """Use the shared folder the cluster names in spark.checkpoint.dir. Where it is unset, a local session gets a folder of its own (tests); on a cluster that would be one per machine, so it raises RuntimeError."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "fieldglass-checkpoints"))
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("name a shared folder in spark.checkpoint.dir")
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="fieldglass-checkpoints-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
