@@ -52,9 +52,15 @@ def refine(df: DataFrame, keys: list[str], columns: list[str], sentinels: list[s
 
 
 def mark_duplicates(df: DataFrame, key: str, order: list[str], column: str, label: str) -> DataFrame:
-    """Rows after the first with an equal non-null key get `label` in `column`."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn(column, F.when(F.col(key).isNotNull() & (n > 1), F.lit(label)).otherwise(F.col(column)))
+    """Rows after the first with an equal non-null key get `label` in `column`; rows equal in all order columns are not told apart.
+
+    The first of each key is an aggregate combined before the shuffle, and the
+    join back splits skewed keys; null keys, which mark nothing, stay out of both.
+    """
+    first = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])).alias("_first"))
+    known = df.filter(F.col(key).isNotNull()).join(first, F.col(key) == F.col("_k"))
+    later = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]) > F.col("_first")
+    return known.withColumn(column, F.when(later, F.lit(label)).otherwise(F.col(column))).select(*df.columns).unionByName(df.filter(F.col(key).isNull()))
 
 
 def representative(df: DataFrame, keys: list[str], score: Column, order: list[str]) -> DataFrame:
@@ -70,8 +76,10 @@ def best_by_preference(df: DataFrame, keys: list[str], column: str, preference:
 
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
-    """The k first rows of each key, numbered (a top-k report)."""
-    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
+    """The k first rows of each key, numbered (a top-k report). Two stages: the best k of each of 64 slices of a key, then the best of these, so a key may hold any share of the rows."""
+    first = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    some = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(64))).withColumn(rank, F.row_number().over(first)).filter(F.col(rank) <= k).drop("_slice")
+    return some.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
 
 
 def fill_forward(df: DataFrame, keys: list[str], order: list[str], column: str, out: str) -> DataFrame:

@@ -92,3 +92,40 @@ def exact_then_fuzzy(left: DataFrame, right: DataFrame, left_id: str, right_id:
     best = fuzzy.filter(F.col(score) >= least).groupBy(left_id).agg(F.max_by(right_id, F.struct(score, (-F.col(right_id)).alias("_n"))).alias("_fuzzy"))
     out = left.join(last, key, "left").join(best, left_id, "left")
     return out.select(left_id, F.coalesce("_exact", "_fuzzy").alias(right_id), F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_fuzzy").isNotNull(), "fuzzy").otherwise("unmatched").alias("how"))
+
+
+def attach_merged(left: DataFrame, right: DataFrame, key: str, columns: list[str], order: list[str]) -> DataFrame:
+    """Left rows with the columns of the right rows of their key, merged from the most complete row on; `missing_feature` tells that there is none."""
+    from fieldglass.operators.dedup import coalesce_merge
+
+    merged = coalesce_merge(right.filter(F.col(key).isNotNull()), [key], columns, order, by_completeness=True).withColumn("_hit", F.lit(True))
+    return left.join(merged, key, "left").withColumn("missing_feature", F.col("_hit").isNull()).drop("_hit")
+
+
+def attach_first(left: DataFrame, right: DataFrame, key: str, order: list[str], columns: list[str], *, last: bool = False, inner: bool = False) -> DataFrame:
+    """Left rows with the columns of the first right row of their key by order (the last on request); rows without one stay with nulls, or go with inner."""
+    pick = F.max_by if last else F.min_by
+    one = right.filter(F.col(key).isNotNull()).groupBy(key).agg(pick(F.struct(*columns), F.struct(*order)).alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in columns])
+    return left.join(one, key, "inner" if inner else "left")
+
+
+def attach_kinds(links: DataFrame, pages: DataFrame, key: str, kind: str, kinds: list[str], columns: list[str], order: list[str]) -> DataFrame:
+    """One pass over pages for all kinds: columns `<kind>_<column>` of the last page of that key and kind, and `<kind>_collected`. Equal to a left join per kind."""
+    picks = [F.max_by(c, F.when(F.col(kind) == k, F.struct(*order))).alias(f"{k}_{c}") for k in kinds for c in columns]
+    had = [F.coalesce(F.bool_or(F.col(kind) == k), F.lit(False)).alias(f"{k}_collected") for k in kinds]
+    out = links.join(pages.filter(F.col(key).isNotNull()).groupBy(key).agg(*picks, *had), key, "left")
+    return out.fillna(False, [f"{k}_collected" for k in kinds])
+
+
+def linked_or_self(rows: DataFrame, links: DataFrame, path: str, target: str) -> DataFrame:
+    """Rows with `target` from the link of their path (the least, if it has several), else the path itself."""
+    one = links.filter(F.col(path).isNotNull()).groupBy(path).agg(F.min(target).alias("_t"))
+    return rows.drop(target).join(one, path, "left").withColumn(target, F.coalesce("_t", path)).drop("_t")
+
+
+def in_families(taxonomy: DataFrame, entries: DataFrame, family: str, score: str, order: list[str], ok: Column) -> DataFrame:
+    """Every family of the taxonomy with its number of entries and its representative: of those for which `ok` holds the one of greatest score (the first by order among equals), else the first other one."""
+    e = entries.withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    rank = F.struct((~F.col("_ok")).cast("int").alias("f"), F.when(F.col("_ok"), -F.col(score)).otherwise(0).alias("s"), *order)
+    per = e.groupBy(family).agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct(*order), rank).alias("representative"), F.bool_or("_ok").alias("any_ok"))
+    return taxonomy.join(per, family, "left").fillna(0, ["n"]).fillna(False, ["any_ok"])

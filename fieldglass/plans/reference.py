@@ -76,9 +76,9 @@ def consensus_count(spark, d):  # noqa: ANN001, ANN201
     return metrics.consensus(table(spark, d, "lineitem"), [F.col("l_quantity") > 25, F.col("l_discount") > 0.05, F.col("l_tax") > 0.04])
 
 
-@query("SELECT count(probability) AS n, min(probability) AS least, count(*) FILTER (WHERE probability < 0.5) AS n_below FROM report_predictions")
+@query("SELECT count(probability) AS n, min(probability) AS least, round(avg(probability), 6) AS mean, count(*) FILTER (WHERE probability < 0.5) AS n_below FROM report_predictions")
 def score_summary(spark, d):  # noqa: ANN001, ANN201
-    return metrics.score_summary(table(spark, d, "report_predictions"), "probability", 0.5).drop("mean")
+    return metrics.score_summary(table(spark, d, "report_predictions"), "probability", 0.5).withColumn("mean", F.round("mean", 6))
 
 
 @query("SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1")
@@ -178,11 +178,11 @@ def tiered_join(spark, d):  # noqa: ANN001, ANN201
     return joins.tiered_join(pre, res, "pre", "res", [("detail", F.col("detail_url"), F.col("detail_url")), ("pair", pair, pair)])
 
 
-@query("SELECT coalesce(c_custkey, o_custkey) AS custkey, CASE WHEN c_custkey IS NULL THEN 'right_only' WHEN o_custkey IS NULL THEN 'left_only' ELSE 'both' END AS join_status, n FROM (SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0) FULL JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey")
+@query("SELECT coalesce(m.match_id, l.match_id) AS match_id, CASE WHEN m.match_id IS NULL THEN 'right_only' WHEN l.match_id IS NULL THEN 'left_only' ELSE 'both' END AS join_status, n FROM (SELECT DISTINCT match_id FROM matches WHERE match_id IS NOT NULL) m FULL JOIN (SELECT match_id, count(*) AS n FROM fixture_links WHERE match_id IS NOT NULL GROUP BY 1) l ON m.match_id = l.match_id")
 def outer_with_status(spark, d):  # noqa: ANN001, ANN201
-    c = table(spark, d, "customer").filter("c_custkey % 3 > 0").select(F.col("c_custkey").alias("custkey"))
-    o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(F.count(F.lit(1)).alias("n"))
-    return joins.outer_with_status(c, o, "custkey").select("custkey", "join_status", "n")
+    m = table(spark, d, "matches").select("match_id").dropna().distinct()
+    links = table(spark, d, "fixture_links").filter("match_id is not null").groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))
+    return joins.outer_with_status(m, links, "match_id").select("match_id", "join_status", "n")
 
 
 @query("WITH f AS (SELECT 0 AS f, user_id AS id, max(event_type) AS last_type, 'view' AS k, count(*) AS v FROM events WHERE event_type = 'view' GROUP BY user_id UNION ALL SELECT 1, user_id, max(event_type), 'purchase', count(*) FROM events WHERE event_type = 'purchase' GROUP BY user_id) SELECT id, arg_max(last_type, f) AS last_type, max(v) FILTER (WHERE k = 'view') AS views, max(v) FILTER (WHERE k = 'purchase') AS purchases FROM f GROUP BY id")
@@ -216,9 +216,11 @@ def pivot_counts(spark, d):  # noqa: ANN001, ANN201
     return out.select("l_returnflag", F.col("O").alias("open"), F.col("F").alias("full"))
 
 
-@query("SELECT feature_row, 'home' AS side, home_ppg AS ppg FROM features WHERE home_ppg IS NOT NULL UNION ALL SELECT feature_row, 'away', away_ppg FROM features WHERE away_ppg IS NOT NULL")
+@query("SELECT feature_row, 'home' AS side, home_ppg AS ppg FROM features WHERE home_ppg IS NOT NULL AND NOT isnan(home_ppg) UNION ALL SELECT feature_row, 'away', away_ppg FROM features WHERE away_ppg IS NOT NULL AND NOT isnan(away_ppg)")
 def unpivot_measures(spark, d):  # noqa: ANN001, ANN201
-    f = table(spark, d, "features").select("feature_row", F.col("home_ppg").alias("home"), F.col("away_ppg").alias("away"))
+    """One row per side that has a number; what is no number is no measure."""
+    number = lambda c: F.when(~F.isnan(c), F.col(c))
+    f = table(spark, d, "features").select("feature_row", number("home_ppg").alias("home"), number("away_ppg").alias("away"))
     return f.unpivot(["feature_row"], ["home", "away"], "side", "ppg").filter("ppg is not null")
 
 
@@ -230,19 +232,19 @@ def set_operations(spark, d):  # noqa: ANN001, ANN201
     return kind("both", c.intersect(s)).unionByName(kind("either", c.union(s).distinct())).unionByName(kind("customers", c.distinct().join(s.filter("nationkey < 10"), "nationkey", "left_anti")))
 
 
-@query("SELECT c_custkey, m AS market FROM customer, (VALUES ('1x2'), ('double_chance'), ('over25'), ('btts')) v(m) WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT match_row, m AS market FROM matches a, (VALUES ('1x2'), ('double_chance'), ('over25'), ('btts')) v(m) WHERE NOT EXISTS (SELECT 1 FROM report_predictions r WHERE r.match_id = a.match_id)")
 def completion(spark, d):  # noqa: ANN001, ANN201
-    idle = table(spark, d, "customer").join(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
-    return idle.select("c_custkey", F.explode(F.array(*[F.lit(m) for m in ("1x2", "double_chance", "over25", "btts")])).alias("market"))
+    idle = table(spark, d, "matches").join(table(spark, d, "report_predictions").select("match_id"), "match_id", "left_anti")
+    return idle.select("match_row", F.explode(F.array(*[F.lit(m) for m in ("1x2", "double_chance", "over25", "btts")])).alias("market"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS status FROM orders UNION ALL SELECT o_orderkey + 100000000, 'N' FROM orders WHERE o_orderkey % 7 = 0")
+@query("WITH o AS (SELECT match_id, 0 AS g, observed_at_utc AS seen_at, link_row AS r, lifecycle_state FROM fixture_links UNION ALL SELECT match_id, 1, updated_at, match_row, status FROM matches), k AS (SELECT *, row_number() OVER (PARTITION BY match_id, g ORDER BY seen_at DESC, r DESC) AS n, max(g) OVER (PARTITION BY match_id) AS top FROM o WHERE match_id IS NOT NULL) SELECT match_id, lifecycle_state AS state FROM k WHERE n = 1 AND g = top")
 def upsert_replace(spark, d):  # noqa: ANN001, ANN201
-    old = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.lit(0).alias("seq"))
-    change = old.filter("o_orderkey % 5 = 0")
-    new = change.select("o_orderkey", F.lit("W").alias("status"), F.lit(1).alias("seq")).unionByName(change.select("o_orderkey", F.lit("X").alias("status"), F.lit(2).alias("seq")))
-    new = new.unionByName(old.filter("o_orderkey % 7 = 0").select((F.col("o_orderkey") + 100000000).alias("o_orderkey"), F.lit("N").alias("status"), F.lit(1).alias("seq")))
-    return sinks.upserted(old, new, ["o_orderkey"], ["seq"]).select("o_orderkey", "status")
+    """States of the matches on index pages, replaced by those of the match records."""
+    at = lambda c, r: (F.col(c).alias("at"), F.col(r).alias("r"))
+    old = dedup.last_wins(table(spark, d, "fixture_links").filter("match_id is not null").select("match_id", F.col("lifecycle_state").alias("state"), *at("observed_at_utc", "link_row")), ["match_id"], ["at", "r"])
+    new = table(spark, d, "matches").filter("match_id is not null").select("match_id", F.col("status").alias("state"), *at("updated_at", "match_row"))
+    return sinks.upserted(old, new, ["match_id"], ["at", "r"]).select("match_id", "state")
 
 
 @query("SELECT feature_row, CASE WHEN match_id IS NULL THEN 'match_id' WHEN home_ppg IS NULL OR NOT (home_ppg BETWEEN 0 AND 3) THEN 'home_ppg' WHEN sample_size_home IS NULL OR sample_size_home < 0 THEN 'sample_size_home' END AS reason FROM features")

@@ -40,8 +40,8 @@ def _paths(spark: SparkSession, pattern: str) -> list[str]:
 
 @register("json_array")
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files that hold one JSON array each; a missing file raises."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    """Files that hold one JSON array each; a missing or broken file raises."""
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 @register("jsonl")
