@@ -29,6 +29,13 @@ _BREAK = re.compile(r"[.!?…][\"'»”’)\]]*\s+|\n\s*")
 
 _SPACES = np.array([*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], dtype="uint32")
 _COMMAS = np.array([ord(c) for c in ",;:|"], dtype="uint32")
+_IS_SPACE, _IS_COMMA = np.zeros(0x3002, bool), np.zeros(0x3002, bool)
+_IS_SPACE[_SPACES], _IS_COMMA[_COMMAS] = True, True
+
+
+def _codes(chars: Iterator[str]) -> np.ndarray:
+    """Code points, all beyond the last white space as one."""
+    return np.minimum(np.frombuffer("".join(chars).encode("utf-32-le"), dtype="<u4"), 0x3001)
 
 
 class Prepared:
@@ -56,24 +63,24 @@ class Prepared:
         self.index = np.concatenate([[0], index, [n]]).astype("int64")
         self.cost = np.concatenate([[0.0], np.array(cost, dtype="float64")[good][first], [0.0]])
         self._inner: np.ndarray | None = None
+        self._ends: np.ndarray | None = None
+        self.last = _codes(map(itemgetter(-1), parts))
+        self.blank = _IS_SPACE[self.last]  # a pre-token that ends in white space is nothing else
 
     def inner(self) -> np.ndarray:
         """Penalty of a cut before each part that is no natural one."""
         if self._inner is None:
-            codes = lambda chars: np.frombuffer("".join(chars).encode("utf-32-le"), dtype="<u4")
-            first, last = codes(map(itemgetter(0), self.parts)), codes(map(itemgetter(-1), self.parts))
-            last = np.concatenate([[0], last[:-1]])
-            here = np.isin(first, _SPACES)
-            self._inner = np.where(here & np.isin(last, _COMMAS), CLAUSE, np.where(here | np.isin(last, _SPACES), WORD, INSIDE))
+            here = _IS_SPACE[_codes(map(itemgetter(0), self.parts))]
+            last = np.concatenate([[0], self.last[:-1]])
+            self._inner = np.where(here & _IS_COMMA[last], CLAUSE, np.where(here | _IS_SPACE[last], WORD, INSIDE))
         return self._inner
 
     def cuts(self, step: int) -> tuple[np.ndarray, np.ndarray]:
         """(indices, penalties): cuts before parts[i], in order, from 0 to the end.
 
-        Where natural cuts are more than step tokens apart, the ends of clauses
-        between them join in, and of all other boundaries the cheapest (of equals
-        the last) of every step / 16 tokens: being equal in penalty, they differ
-        from those left out by that much imbalance at most.
+        Where natural cuts are more than step tokens apart, of the boundaries
+        between them the cheapest (of equals the last) of every step / 16 tokens
+        joins in: one left out is dearer, or differs by that much imbalance.
         """
         at = self.tokens[self.index]
         wide = np.flatnonzero(np.diff(at) > step)
@@ -85,21 +92,21 @@ class Prepared:
         order = np.lexsort((-more, price, stretch, gap))
         same = (np.diff(gap[order]) == 0) & (np.diff(stretch[order]) == 0)
         picked = order[np.concatenate([[True], ~same])] if len(order) else order
-        picked = np.union1d(picked, np.flatnonzero(price <= CLAUSE))
         index, cost = np.concatenate([self.index, more[picked]]), np.concatenate([self.cost, price[picked]])
         order = np.argsort(index, kind="stable")
         return index[order], cost[order]
 
     def ends(self, index: np.ndarray) -> np.ndarray:
         """Tokens up to each cut of a piece that ends there: white space at its end is one pre-token then."""
-        out = self.tokens[index].copy()
-        for k, b in enumerate(index.tolist()):
-            if b > 1 and self.parts[b - 1].isspace() and self.parts[b - 2].isspace():
+        if self._ends is None:
+            self._ends = self.tokens.copy()
+            blank = self.blank
+            for b in (np.flatnonzero(blank[1:] & blank[:-1]) + 2).tolist():
                 e = b
-                while e > 0 and self.parts[e - 1].isspace():
+                while e > 0 and blank[e - 1]:
                     e -= 1
-                out[k] = self.tokens[e] + self.one("".join(self.parts[e:b]))
-        return out
+                self._ends[b] = self.tokens[e] + self.one("".join(self.parts[e:b]))
+        return self._ends[index]
 
 
 def solve(ends: list[np.ndarray], starts: list[np.ndarray], costs: list[np.ndarray], limit: int, overlap: int) -> list[list[int]]:
@@ -113,13 +120,15 @@ def solve(ends: list[np.ndarray], starts: list[np.ndarray], costs: list[np.ndarr
     for lo in range(0, len(order), 256):
         group = order[lo : lo + 256]
         n, width = len(group), len(ends[group[-1]])
-        e, s = np.full((n, width), 1 << 40, dtype="int64"), np.zeros((n, width), dtype="int64")
+        e, s = np.full((n, width), 1 << 30, dtype="int32"), np.zeros((n, width), dtype="int32")
         c, total = np.zeros((n, width)), np.zeros(n)
         for r, i in enumerate(group):
             k = len(ends[i])
             e[r, :k], s[r, :k], c[r, :k], total[r] = ends[i], starts[i], costs[i], ends[i][-1]
         count = np.maximum(1, np.ceil((total - overlap) / (limit - overlap)))
         target = (total + (count - 1) * overlap) / count
+        root = BALANCE**0.5  # the imbalance is (root * size / target - root) squared
+        scale = (root / target)[:, None]
         cost, back = np.full((n, width), np.inf), np.zeros((n, width), dtype="int32")
         cost[:, 0] = 0
         near = 0  # the first cut from which any text's piece still fits
@@ -127,7 +136,11 @@ def solve(ends: list[np.ndarray], starts: list[np.ndarray], costs: list[np.ndarr
             while near < j - 1 and not (e[:, j] - s[:, near] <= limit).any():
                 near += 1
             size = e[:, j, None] - s[:, near:j]
-            worth = np.where(size <= limit, cost[:, near:j] + BALANCE * np.square(size / target[:, None] - 1), np.inf)
+            worth = size * scale
+            worth -= root
+            np.square(worth, out=worth)
+            worth += cost[:, near:j]
+            worth[size > limit] = np.inf
             pick = worth.argmin(axis=1)
             back[:, j] = pick + near
             cost[:, j] = worth[np.arange(n), pick] + c[:, j]
