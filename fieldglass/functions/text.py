@@ -71,3 +71,58 @@ def allowed_keys(m: Column, keys: list[str]) -> Column:
 def scrub_addresses(c: Column) -> Column:
     """Memory addresses in error texts made equal."""
     return F.regexp_replace(c, r"0x[0-9a-fA-F]+", "0x..")
+
+
+def find_all(c: Column, pattern: str, group: int = 0) -> Column:
+    """All that a pattern matches in a text, as an array."""
+    return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
+
+
+def at_clock(day: Column, clock: Column) -> Column:
+    """The day of a timestamp at a time written hh:mm; null if it is none."""
+    h, m = F.regexp_extract(clock, r"^(\d{1,2}):(\d{2})$", 1).try_cast("int"), F.regexp_extract(clock, r"^(\d{1,2}):(\d{2})$", 2).try_cast("int")
+    return F.when(h.between(0, 23) & m.between(0, 59), F.date_trunc("DAY", day) + F.make_dt_interval(F.lit(0), h, m))
+
+
+def plus_minutes(at: Column, minutes: int) -> Column:
+    return at + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+
+
+def half_even(c: Column, digits: int) -> Column:
+    """Rounded to the nearest decimal of the number as it is stored in binary; exact ties, which only sums of powers of two have, go to the even digit."""
+    exact = F.format_string("%." + str(min(38 - 8, digits + 20)) + "f", c).cast(f"decimal(38,{min(30, digits + 20)})")
+    return F.bround(exact, digits).cast("double")
+
+
+def first_key(m: Column, default: str | None = None) -> Column:
+    """The first key of a map in its stored order; the default for null and empty maps."""
+    return F.coalesce(F.get(F.map_keys(m), F.lit(0)), F.lit(default))
+
+
+def with_default(c: Column, path: str, default: object) -> Column:
+    """A field inside nested structs, the default where it or what holds it is null."""
+    out = c
+    for name in path.split("."):
+        out = out[name]
+    return F.coalesce(out, F.lit(default))
+
+
+def byte_length(c: Column) -> Column:
+    """Bytes of a text in UTF-8, 0 for null."""
+    return F.coalesce(F.octet_length(c), F.lit(0))
+
+
+#: Fields that differ from run to run and are left out of a record's hash.
+VOLATILE = "run_id run_started_at run_finished_at generated_at created_at updated_at fetched_at git_commit frozen_at timestamp".split()
+
+
+def record_json(df_columns: list[str]) -> Column:
+    """A row as compact JSON, columns in name order, volatile ones left out, nulls written."""
+    return F.to_json(F.struct(*sorted(c for c in df_columns if c not in VOLATILE)), {"ignoreNullFields": "false"})
+
+
+def list_hash(df, by: str):  # noqa: ANN001, ANN201
+    """One row (`list_hash`): sha256 over the sha256 of a table's records in order of an id, a tree of 4096 hashed slices so that no task holds the list. Equal tables have equal hashes whatever the order of rows."""
+    each = df.select(F.col(by).cast("string").alias("_id"), F.sha2(record_json(df.columns), 256).alias("_h")).withColumn("_s", F.pmod(F.xxhash64("_id"), F.lit(4096)))
+    leaf = each.groupBy("_s").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_id", "_h"))), lambda x: x["_h"]), ","), 256).alias("_h"))
+    return leaf.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_h"))), lambda x: x["_h"]), ","), 256).alias("list_hash"))

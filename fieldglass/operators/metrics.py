@@ -59,3 +59,56 @@ def consensus(df: DataFrame, votes: list[Column], out: str = "agreeing") -> Data
 def score_summary(df: DataFrame, score: str, below: float) -> DataFrame:
     """Least and mean score, rows, and rows under a threshold."""
     return df.agg(F.count(score).alias("n"), F.min(score).alias("least"), F.avg(score).alias("mean"), F.count_if(F.col(score) < below).alias("n_below"))
+
+
+#: Classes of a probability.
+PROBABILITY_EDGES, PROBABILITY_LABELS = [float("-inf"), 0.5, 0.6, 0.7, 0.8, 0.9, float("inf")], ["<50%", "50-60%", "60-70%", "70-80%", "80-90%", "90%+"]
+
+
+def probability_class(p: Column) -> Column:
+    return bucket(p, PROBABILITY_EDGES, PROBABILITY_LABELS)
+
+
+def failure_histogram(df: DataFrame, error: str) -> DataFrame:
+    """Failed rows counted by error text, memory addresses made equal; rows without an error are no failures."""
+    from fieldglass.functions.text import scrub_addresses
+
+    return df.filter(F.col(error).isNotNull()).groupBy(scrub_addresses(F.col(error)).alias("error")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def hit_rate(won: str) -> Column:
+    """Share of settled rows that are won, 0 if none is settled."""
+    return F.count_if(F.col(won)) / F.greatest(F.lit(1), F.count(won))
+
+
+def trusted(groups: DataFrame, least: int = 10, gap: float = 0.10, rate: float = 0.5) -> DataFrame:
+    """Groups of enough rows (`n`), a small `gap` and a `hit_rate` above chance: a HAVING on calibration's output."""
+    return groups.filter((F.col("n") >= least) & (F.abs("gap") < gap) & (F.col("hit_rate") > rate))
+
+
+def finished_with_outcome(df: DataFrame, status: str, outcome: str) -> DataFrame:
+    return df.filter((F.col(status) == "finished") & F.col(outcome).isNotNull())
+
+
+def outcome_of(home: Column, away: Column) -> Column:
+    """1, X or 2 of a score; null unless both sides have one."""
+    return F.when(home > away, "1").when(home < away, "2").when(home == away, "X")
+
+
+def flattened(df: DataFrame, fields: dict[str, Column], prefix: str) -> DataFrame:
+    """One flat row per record: each named expression as a column with the prefix."""
+    return df.select(*[c.alias(f"{prefix}_{n}") for n, c in fields.items()])
+
+
+def score_columns(home: Column, away: Column) -> dict[str, Column]:
+    """What follows from a score: outcome, total, whether both scored, over or under 2.5; null without a score."""
+    both = home.isNotNull() & away.isNotNull()
+    return {"outcome_1x2": outcome_of(home, away), "total_goals": home + away, "btts_outcome": F.when(both, F.when((home != 0) & (away != 0), "yes").otherwise("no")), "o25_outcome": F.when(both, F.when(home + away > 2, "over").otherwise("under"))}
+
+
+def paired_columns(f: dict[str, tuple[Column, Column]]) -> dict[str, Column]:
+    """For each pair of home and away numbers their difference, sum, mean and favourite; null unless both are there."""
+    out = {}
+    for n, (h, a) in f.items():
+        out |= {f"{n}_diff": h - a, f"{n}_sum": h + a, f"{n}_avg": (h + a) / 2, f"{n}_fav": outcome_of(h, a)}
+    return out

@@ -81,3 +81,48 @@ def settings(path: str, defaults: dict) -> dict:
     """A TOML file over defaults, section by section."""
     given = tomllib.loads(Path(path).read_text()) if Path(path).exists() else {}
     return {k: (v | given.get(k, {})) if isinstance(v, dict) else given.get(k, v) for k, v in defaults.items()} | {k: v for k, v in given.items() if k not in defaults}
+
+
+def probed_run(spark: SparkSession, roots: list[str], run_id: str) -> str:
+    """The run's folder under the first root that has it; none raises FileNotFoundError."""
+    for root in roots:
+        where = run_root(root, run_id)
+        if _paths(spark, where):
+            return where
+    raise FileNotFoundError(f"run {run_id} under none of {roots}")
+
+
+def frozen_report(spark: SparkSession, folder: str, day: str, schema: str) -> DataFrame:
+    """The report of a day; an absent one raises FileNotFoundError."""
+    path = f"{folder.rstrip('/')}/report_{day}.json"
+    if not _paths(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+
+
+RESULT_PAGES = "result_pages array<struct<match_id:string,home_team:string,away_team:string,competition:string,summary:struct<final_score:struct<home:int,away:int>,total_goals:int,btts:boolean>>>"
+
+
+@register("result_reports")
+def result_reports(spark: SparkSession, pattern: str) -> DataFrame:
+    """One row per result page of all reports of a glob that has both scores; broken reports are skipped, no reports give no rows."""
+    if not _paths(spark, pattern):
+        return spark.createDataFrame([], "match_id string, home_team string, away_team string, competition string, home_score int, away_score int, total_goals int, btts boolean, source_report string")
+    docs = spark.read.schema(RESULT_PAGES).option("multiLine", True).option("mode", "PERMISSIVE").json(pattern).withColumn("source_report", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    p = docs.select(F.explode("result_pages").alias("p"), "source_report").select("p.*", "source_report")
+    out = p.select("match_id", "home_team", "away_team", "competition", F.col("summary.final_score.home").alias("home_score"), F.col("summary.final_score.away").alias("away_score"), F.col("summary.total_goals").alias("total_goals"), F.col("summary.btts").alias("btts"), "source_report")
+    return out.dropna(subset=["home_score", "away_score"])
+
+
+def finished_fallback(matches: DataFrame) -> DataFrame:
+    """Finished matches as results without scores, for want of reports."""
+    return matches.filter(F.col("status").isin("finished", "full_time")).select("match_id", "home_team", "away_team", "competition")
+
+
+def first_pages(links: DataFrame, kinds: list[str], order: str) -> DataFrame:
+    """(path, page_type, and the other columns) of collected pages: the path columns `<kind>_snapshot_path` unpivoted, each path once, its first row by order and kind."""
+    from fieldglass.operators.dedup import first_wins
+
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_k"), F.lit(k).alias("page_type"), F.col(f"{k}_snapshot_path").alias("path")) for i, k in enumerate(kinds)])).alias("_p")
+    rows = links.select("*", each).select(*[c for c in links.columns if not c.endswith("_snapshot_path")], "_p.*").filter(F.coalesce("path", F.lit("")) != "")
+    return first_wins(rows, ["path"], [order, "_k"]).drop("_k")

@@ -75,3 +75,28 @@ def manifest(df: DataFrame, counts: dict[str, Column], volatile: list[str] | Non
     """One row: conditional counts of a table and given facts, without those named volatile."""
     row = df.agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
     return row.withColumns({k: F.lit(v) for k, v in facts.items() if k not in (volatile or [])}) if facts else row
+
+
+def freeze_with_summary(df: DataFrame, path: str, counts: dict[str, Column], stamp: str = "frozen_at") -> DataFrame:
+    """freeze(), then one row of conditional counts of what was written, with its one time."""
+    freeze(df, path, stamp)
+    done = df.sparkSession.read.parquet(path)
+    return done.agg(F.max(stamp).alias(stamp), *[F.count_if(c).alias(n) for n, c in counts.items()])
+
+
+def page_status(response_status: Column, content: Column) -> Column:
+    """`error` for a failed or empty response, else `unparsed`."""
+    return F.when((response_status >= 400) | (F.coalesce(F.octet_length(content), F.lit(0)) == 0), "error").otherwise("unparsed")
+
+
+def create_tables(spark: SparkSession, tables: dict[str, str], database: str = "default") -> None:
+    """CREATE TABLE IF NOT EXISTS for each name and its columns; existing tables and their rows stay."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, columns in tables.items():
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
+
+
+def markdown_summary(df: DataFrame, title: str, by: str, facts: dict[str, object] | None = None) -> str:
+    """A Markdown text: title, given facts, and a table of counts in key order. As many lines as keys come to the driver."""
+    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(by).collect()
+    return "\n".join([f"# {title}", "", *[f"{k}: {v}" for k, v in (facts or {}).items()], *([""] if facts else []), f"| {by} | count |", "|-|-|", *[f"| {r[0]} | {r.n} |" for r in counts]])
