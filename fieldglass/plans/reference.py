@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldglass.functions import ids, similarity, text, urls
-from fieldglass.operators import crawl, dedup, joins, metrics, timestamps
+from fieldglass.operators import crawl, dedup, joins, metrics, names, timestamps
 from fieldglass.session import table
 from fieldglass.sources import sinks
 
@@ -326,17 +326,115 @@ def fuzzy_similarity(spark, d):  # noqa: ANN001, ANN201
     return pairs.withColumn("c", similarity.compare_names("a", "b")).select("country", "a", "b", "c.*")
 
 
-@query()
-def stored_crawl(spark, d):  # noqa: ANN001, ANN201
-    """The snapshots of one run lead to those of the next day: pages reached in two steps from the first run."""
-    s = table(spark, d, "snapshots").select("url", "collection_run_id").distinct()
-    order = s.groupBy("collection_run_id").agg(F.min("url").alias("first"))
-    links = s.join(order, "collection_run_id").select(F.col("first").alias("url"), F.col("url").alias("target"))
-    return crawl.crawl(links, order.select(F.col("first").alias("url")), max_depth=2)
-
-
 @query("SELECT CAST(julian(CAST(o_orderdate AS DATE)) - 2440588 AS BIGINT) AS day, count(*) AS n FROM orders GROUP BY 1")
 def day_arithmetic(spark, d):  # noqa: ANN001, ANN201
     at = F.col("o_orderdate")
     day = timestamps.days_from_civil(F.year(at).cast("bigint"), F.month(at).cast("bigint"), F.day(at).cast("bigint"))
     return table(spark, d, "orders").groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# Literal cases: inputs and what must come out, worked out by hand from the rules.
+_CASES = [
+    ("FC Roma", "Rome", True, 1.0, "exact"), ("Rosenborg", "Rosenborgs", True, 0.823, "similar"), ("Barcelona", "Barcelona B", False, 0.0, "reserve_mismatch"), ("Sporting CP", "Sporting GD", False, 0.64, "short_remainder"),
+    ("Milan", "Inter Milan", True, 0.874, "similar"), ("West Ham", "West Ham United", True, 0.972, "similar"), ("Bristol City", "Bristol FB", False, 0.784, "ambiguous"), ("", "Roma", False, 0.0, "empty"),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {str(ok).lower()}, CAST({x} AS DOUBLE), '{why}')" for a, b, ok, x, why in _CASES) + ") t(a, b, accepted, score, reason)")
+def similarity_cases(spark, d):  # noqa: ANN001, ANN201
+    df = spark.createDataFrame([c[:2] for c in _CASES], "a string, b string").withColumn("c", similarity.compare_names("a", "b"))
+    return df.select("a", "b", "c.accepted", F.round("c.score", 3).alias("score"), "c.reason")
+
+
+@query("""SELECT link_row, family, CASE WHEN family = 'unknown' THEN 'unknown' ELSE 'known' END AS category, scope FROM (SELECT link_row,
+  CASE WHEN index_url LIKE '%matches.asp%' THEN 'matches' WHEN index_url LIKE '%results.asp%' THEN 'results' ELSE 'unknown' END AS family,
+  coalesce(map {'0': 'results', '1': 'home_away', '2': 'home_away', '6': 'by_time_home_away', '100': 'results_all_games', '101': 'all_games', '102': 'all_games', '106': 'by_time_all_games', '200': 'results_last_8', '201': 'last_8', '202': 'last_8', '206': 'by_time_last_8'}[regexp_extract(index_url, '[?&]matchday=([^&#]*)', 1)], 'unknown_' || regexp_extract(index_url, '[?&]matchday=([^&#]*)', 1)) AS scope FROM fixture_links WHERE index_url IS NOT NULL)""")
+def index_pages(spark, d):  # noqa: ANN001, ANN201
+    links = table(spark, d, "fixture_links").filter("index_url is not null")
+    url = F.col("index_url")
+    told = urls.outcome(url, "index-a.example", urls.family_a(url))
+    return links.select("link_row", told["family"].alias("family"), told["category"].alias("category"), urls.scope_label(url).alias("scope"))
+
+
+@query("SELECT m.match_row, arg_min(f.home_ppg, (k, feature_row)) FILTER (WHERE f.home_ppg IS NOT NULL) AS home_ppg, arg_min(f.sample_size_home, (k, feature_row)) FILTER (WHERE f.sample_size_home IS NOT NULL) AS sample_size_home, count(f.feature_row) = 0 AS missing_feature FROM matches m LEFT JOIN (SELECT *, -(CAST(home_ppg IS NOT NULL AS INT) + CAST(sample_size_home IS NOT NULL AS INT)) AS k FROM features) f ON f.match_id = m.match_id GROUP BY m.match_row")
+def feature_attach(spark, d):  # noqa: ANN001, ANN201
+    out = joins.attach_merged(table(spark, d, "matches").select("match_row", "match_id"), table(spark, d, "features"), "match_id", ["home_ppg", "sample_size_home"], ["feature_row"])
+    return out.select("match_row", "home_ppg", "sample_size_home", "missing_feature")
+
+
+@query("SELECT m.match_row, arg_min(r.report_row, (r.report_row)) AS report_row FROM matches m LEFT JOIN report_predictions r ON r.match_id = m.match_id GROUP BY 1")
+def prediction_attach(spark, d):  # noqa: ANN001, ANN201
+    return joins.attach_first(table(spark, d, "matches").select("match_row", "match_id"), table(spark, d, "report_predictions").select("match_id", "report_row"), "match_id", ["report_row"], ["report_row"]).select("match_row", "report_row")
+
+
+@query("SELECT url, count(*) FILTER (WHERE extraction_method IS NOT NULL) AS n, arg_max(snapshot_id, (requested_at, snapshot_id)) FILTER (WHERE source = 'soccerstats') AS soccerstats_snapshot_id, arg_max(snapshot_id, (requested_at, snapshot_id)) FILTER (WHERE source = 'forebet') AS forebet_snapshot_id, bool_or(source = 'forebet') AS forebet_collected FROM snapshots WHERE url IS NOT NULL GROUP BY url")
+def page_kinds(spark, d):  # noqa: ANN001, ANN201
+    s = table(spark, d, "snapshots").filter("url is not null")
+    each = s.groupBy("url").agg(F.count("extraction_method").alias("n"))
+    out = joins.attach_kinds(each, s, "url", "source", ["soccerstats", "forebet"], ["snapshot_id"], ["requested_at", "snapshot_id"])
+    return out.select("url", "n", "soccerstats_snapshot_id", "forebet_snapshot_id", "forebet_collected")
+
+
+@query("WITH e AS (SELECT source AS family, content_length, snapshot_id, coalesce(response_status < 400, false) AS ok FROM snapshots), t AS (SELECT DISTINCT source AS family FROM documents WHERE source IS NOT NULL UNION SELECT DISTINCT source FROM snapshots WHERE source IS NOT NULL) SELECT t.family, count(e.snapshot_id) AS n, arg_min(snapshot_id, (CASE WHEN ok THEN 0 ELSE 1 END, CASE WHEN ok THEN -coalesce(content_length, 0) ELSE 0 END, snapshot_id)) AS representative, coalesce(bool_or(ok), false) AS any_ok FROM t LEFT JOIN e USING (family) GROUP BY 1")
+def family_bucketing(spark, d):  # noqa: ANN001, ANN201
+    s = table(spark, d, "snapshots")
+    taxonomy = table(spark, d, "documents").select(F.col("source").alias("family")).union(s.select("source")).dropna().distinct()
+    e = s.select(F.col("source").alias("family"), F.coalesce("content_length", F.lit(0)).alias("size"), "snapshot_id", F.col("response_status"))
+    out = joins.in_families(taxonomy, e, "family", "size", ["snapshot_id"], F.col("response_status") < 400)
+    return out.select("family", "n", F.col("representative.snapshot_id").alias("representative"), "any_ok")
+
+
+@query("SELECT link_row, path, page_type FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY link_row, k) AS n FROM (SELECT link_row, preview_snapshot_path AS path, 'preview' AS page_type, 0 AS k FROM fixture_links UNION ALL SELECT link_row, result_snapshot_path, 'result', 1 FROM fixture_links UNION ALL SELECT link_row, detail_snapshot_path, 'detail', 2 FROM fixture_links) WHERE coalesce(path, '') <> '') WHERE n = 1")
+def detail_pages(spark, d):  # noqa: ANN001, ANN201
+    from fieldglass.sources import readers
+
+    return readers.first_pages(table(spark, d, "fixture_links"), ["preview", "result", "detail"], "link_row").select("link_row", "path", "page_type")
+
+
+@query("SELECT market, confidence_grade, CASE WHEN probability < 0.5 THEN '<50%' WHEN probability < 0.6 THEN '50-60%' WHEN probability < 0.7 THEN '60-70%' WHEN probability < 0.8 THEN '70-80%' WHEN probability < 0.9 THEN '80-90%' WHEN probability IS NOT NULL THEN '90%+' END AS class, count(*) AS n FROM report_predictions GROUP BY GROUPING SETS ((market), (confidence_grade), (class), (market, confidence_grade), ())")
+def five_way_counts(spark, d):  # noqa: ANN001, ANN201
+    r = table(spark, d, "report_predictions").select("market", "confidence_grade", metrics.probability_class(F.col("probability")).alias("class"))
+    return metrics.by_grouping_sets(r, [["market"], ["confidence_grade"], ["class"], ["market", "confidence_grade"], []], [F.count(F.lit(1)).alias("n")]).select("market", "confidence_grade", "class", "n")
+
+
+@query("SELECT regexp_replace(http_error, '0x[0-9a-fA-F]+', '0x..', 'g') AS error, count(*) AS n FROM snapshots WHERE http_error IS NOT NULL GROUP BY 1")
+def failure_counts(spark, d):  # noqa: ANN001, ANN201
+    return metrics.failure_histogram(table(spark, d, "snapshots"), "http_error")
+
+
+@query("SELECT feature_row, home_ppg - away_ppg AS ss_ppg_diff, home_ppg + away_ppg AS ss_ppg_sum, (home_ppg + away_ppg) / 2 AS ss_ppg_avg, CASE WHEN home_ppg > away_ppg THEN '1' WHEN home_ppg < away_ppg THEN '2' WHEN home_ppg = away_ppg THEN 'X' END AS ss_ppg_fav, CASE WHEN sample_size_home IS NOT NULL AND sample_size_away IS NOT NULL THEN least(sample_size_home, sample_size_away) END AS ss_sample_min FROM features WHERE home_ppg IS NOT NULL AND away_ppg IS NOT NULL AND NOT isnan(home_ppg) AND NOT isnan(away_ppg)")
+def flat_features(spark, d):  # noqa: ANN001, ANN201
+    from fieldglass.sources import layouts
+
+    f = layouts.core_numbers(table(spark, d, "features"), ["home_ppg", "away_ppg"])
+    fields = metrics.paired_columns({"ppg": (F.col("home_ppg"), F.col("away_ppg"))}) | {"sample_min": text.least_of_both(F.col("sample_size_home"), F.col("sample_size_away"))}
+    return metrics.flattened(f, {"row": F.col("feature_row"), **fields}, "ss").withColumnRenamed("ss_row", "feature_row")
+
+
+@query("SELECT match_row, map_keys(source_urls)[1] AS first_source, octet_length(encode(coalesce(home_team, ''))) AS n_bytes, len(regexp_extract_all(coalesce(away_team, ''), '[A-Za-z]+')) AS n_words, created_at + INTERVAL 150 MINUTE AS due, date_trunc('day', created_at) + INTERVAL 1170 MINUTE AS evening FROM matches")
+def scalar_texts(spark, d):  # noqa: ANN001, ANN201
+    m = table(spark, d, "matches")
+    return m.select("match_row", text.first_key(F.col("source_urls")).alias("first_source"), text.byte_length(F.col("home_team")).alias("n_bytes"), F.size(text.find_all(F.coalesce("away_team", F.lit("")), "[A-Za-z]+")).alias("n_words"), text.plus_minutes(F.col("created_at"), 150).alias("due"), text.at_clock(F.col("created_at"), F.lit("19:30")).cast("timestamp_ntz").alias("evening"))
+
+
+@query("SELECT report_row, probability FROM report_predictions ORDER BY probability DESC NULLS LAST, report_row LIMIT 40")
+def most_probable(spark, d):  # noqa: ANN001, ANN201
+    """A report of the 40 most probable selections; the row number breaks ties."""
+    return table(spark, d, "report_predictions").select("report_row", "probability").orderBy(F.col("probability").desc_nulls_last(), "report_row").limit(40)
+
+
+@query("SELECT bucket, n, hit_rate, gap FROM (SELECT " + _CASE + " AS bucket, count(*) AS n, count(*) FILTER (WHERE hit) / count(*) AS hit_rate, count(*) FILTER (WHERE hit) / count(*) - avg(p) AS gap FROM (SELECT l_quantity / 50 AS p, l_quantity > 30 AS hit FROM lineitem) GROUP BY 1) WHERE bucket IS NOT NULL AND n >= 10 AND abs(gap) < 0.45 AND hit_rate > 0.5")
+def trusted_buckets(spark, d):  # noqa: ANN001, ANN201
+    rows = table(spark, d, "lineitem").select((F.col("l_quantity") / 50).alias("p"), (F.col("l_quantity") > 30).alias("hit"))
+    return metrics.trusted(metrics.calibration(rows, "p", "hit", EDGES), gap=0.45).select("bucket", "n", "hit_rate", "gap")
+
+
+@query("""WITH RECURSIVE s AS (SELECT DISTINCT url, collection_run_id AS run FROM snapshots WHERE url IS NOT NULL AND collection_run_id IS NOT NULL), o AS (SELECT run, min(url) AS first FROM s GROUP BY 1), links AS (SELECT DISTINCT o.first AS src, s.url AS dst FROM s JOIN o USING (run)),
+w(url, depth) AS (SELECT first, 0 FROM o UNION SELECT l.dst, w.depth + 1 FROM w JOIN links l ON l.src = w.url WHERE w.depth < 2), d AS (SELECT url, min(depth) AS depth FROM w GROUP BY 1)
+SELECT d.url, CAST(d.depth AS INT) AS depth, min(p.url) AS found_from FROM d LEFT JOIN links l ON l.dst = d.url LEFT JOIN d p ON p.url = l.src AND p.depth = d.depth - 1 GROUP BY ALL""")
+def stored_crawl(spark, d):  # noqa: ANN001, ANN201
+    """Pages reached in two steps from the first page of every run, a page leading to all of its run's."""
+    s = table(spark, d, "snapshots").select("url", F.col("collection_run_id").alias("run")).dropna().distinct()
+    order = s.groupBy("run").agg(F.min("url").alias("first"))
+    links = s.join(order, "run").select(F.col("first").alias("url"), F.col("url").alias("target"))
+    return crawl.crawl(links, order.select(F.col("first").alias("url")), max_depth=2)
