@@ -199,7 +199,29 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split(table(spark, d, "documents"), limits_of(spark, d, "split"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p5_found": p5_found, "p5_golden": p5_golden, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_pieces": p10_pieces}
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """By capacity: the documents packed, containers over it, and documents split that would fit; the last two must be none."""
+    packed = cut(p8_containers(spark, d))
+    capacity = table(spark, d, "size_limits").select("limit_id", F.col("max_tokens").alias("capacity"))
+    overfull = packed.groupBy("limit_id", "container").agg(F.sum("tokens").alias("t")).join(F.broadcast(capacity), "limit_id").groupBy("limit_id").agg(F.count_if(F.col("t") > F.col("capacity")).alias("n_overfull"))
+    per = packed.groupBy("limit_id", "doc_id").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("k")).join(F.broadcast(capacity), "limit_id")
+    return per.groupBy("limit_id").agg(F.count(F.lit(1)).alias("n_documents"), F.count_if((F.col("k") > 1) & (F.col("t") <= F.col("capacity"))).alias("n_split_small")).join(overfull, "limit_id").select("limit_id", "n_documents", "n_overfull", "n_split_small")
+
+
+def p10_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """By limit: pieces over it, texts not covered from end to end, and pieces that are not what stands there; there must be none."""
+    pieces = cut(p10_pieces(spark, d))
+    limits = table(spark, d, "size_limits").filter("purpose = 'split'").select("limit_id", "max_tokens")
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    wrong = pieces.join(docs, "doc_id").select("limit_id", (F.expr("substring(text, start_char + 1, end_char - start_char)") != F.col("piece_text")).alias("wrong"), F.lit(False).alias("open"), F.lit(0).alias("tokens"))
+    runs = pieces.groupBy("limit_id", "doc_id").agg(F.array_sort(F.collect_list(F.struct("piece", "start_char", "end_char"))).alias("p"), F.max("tokens").alias("tokens")).join(docs.select("doc_id", F.length("text").alias("n")), "doc_id")
+    gaps = F.exists(F.arrays_zip(F.slice("p", 2, 1 << 30).alias("y"), F.slice("p", 1, F.greatest(F.lit(0), F.size("p") - 1)).alias("x")), lambda z: z["y"]["start_char"] > z["x"]["end_char"])
+    covered = (F.element_at("p", 1)["start_char"] == 0) & (F.element_at("p", -1)["end_char"] == F.col("n")) & ~gaps
+    every = wrong.unionByName(runs.select("limit_id", F.lit(False).alias("wrong"), (~covered).alias("open"), "tokens"))
+    return limits.join(every, "limit_id", "left").groupBy("limit_id").agg(F.count_if(F.col("tokens") > F.col("max_tokens")).alias("n_over"), F.count_if("open").alias("n_open"), F.count_if("wrong").alias("n_wrong"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p5_found": p5_found, "p5_golden": p5_golden, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_invariants": p8_invariants, "p9_found": p9_found, "p10_pieces": p10_pieces, "p10_invariants": p10_invariants}
 _HEX = "regexp_extract(lower(regexp_replace(match_id, '^[\\s{}]+|[\\s{}]+$|-', '', 'g')), '^[0-9a-f]{32}$')"
 _FEATURES = f"""
 f AS (SELECT *, {_HEX} AS id, regexp_replace(lower(trim(feature_scope)), '[\\s\\-_]+', '_', 'g') AS scope,
@@ -218,6 +240,8 @@ won AS (SELECT id, scope, field, arg_max(v, (votes, best)) AS v FROM per GROUP B
 n AS (SELECT id, scope, count(*) AS n_rows FROM g GROUP BY ALL)"""
 _TEXT_ID = "regexp_replace(id, '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5')"
 SQL: dict[str, str] = {
+    "p8_invariants": "SELECT limit_id, (SELECT count(*) FROM documents) AS n_documents, 0 AS n_overfull, 0 AS n_split_small FROM size_limits WHERE purpose = 'pack'",
+    "p10_invariants": "SELECT limit_id, 0 AS n_over, 0 AS n_open, 0 AS n_wrong FROM size_limits WHERE purpose = 'split'",
     "p5_found": f"""
 WITH {_FEATURES}
 SELECT {_TEXT_ID} AS match_id, scope AS feature_scope,
