@@ -38,17 +38,21 @@ def lookup(left: DataFrame, right: DataFrame, key: str, defaults: dict[str, obje
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-def tiered_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, Column, Column]]) -> DataFrame:
+def tiered_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, Column, Column]], last: tuple[str, DataFrame] | None = None) -> DataFrame:
     """Tries equality of each tier's key (name, of the left, of the right) in order.
 
     A left row takes the first tier with exactly one right row. If an earlier
     or equal tier had several, the row is ambiguous; without any match it is
-    unresolved. Gives left_id, right_id, tier, status, n_candidates (over all tiers tried).
+    unresolved. `last` is a further tier given as its (left_id, right_id) pairs,
+    such as those of similar names. Gives left_id, right_id, tier, status, n_candidates (over all tiers tried).
     """
     found = None
     for n, (name, a, b) in enumerate(tiers):
         pairs = left.select(left_id, a.alias("_k")).join(right.select(right_id, b.alias("_k")), "_k").select(left_id, right_id, F.lit(n).alias("_t"), F.lit(name).alias("tier"))
         found = pairs if found is None else found.unionByName(pairs)
+    if last is not None:
+        pairs = last[1].select(left_id, right_id, F.lit(len(tiers)).alias("_t"), F.lit(last[0]).alias("tier"))
+        found = pairs if found is None else found.unionByName(pairs)
     by_tier = found.groupBy(left_id, "_t", "tier").agg(F.count_distinct(right_id).alias("_n"), F.min(right_id).alias(right_id))
     single = F.when(F.col("_n") == 1, F.col("_t"))
     per = by_tier.groupBy(left_id).agg(F.min_by(right_id, single).alias(right_id), F.min_by("tier", single).alias("tier"), F.min(single).alias("_one"), F.min(F.when(F.col("_n") > 1, F.col("_t"))).alias("_many"), F.sum("_n").alias("n_candidates"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldglass.functions.similarity import compare_pairs, normalized_name
+from fieldglass.functions.similarity import compare_pairs, name_similarity, normalized_name
 
 
 def with_forms(df: DataFrame, home: str = "home_team", away: str = "away_team") -> DataFrame:
@@ -13,11 +13,11 @@ def with_forms(df: DataFrame, home: str = "home_team", away: str = "away_team")
     return df.withColumns({"_h": normalized_name(home), "_a": normalized_name(away)})
 
 
-def scored_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, within: list[str], *, swap: bool = False, size: int = 4, slice_rows: int = 1_000) -> DataFrame:
+def scored_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, within: list[str], *, swap: bool = False, both_least: float | None = None, size: int = 4, slice_rows: int = 1_000) -> DataFrame:
     """(left_id, right_id, accepted, score, swapped) of rows that agree in the `within` columns and whose home names, and whose away names, have words beginning with the same `size` letters.
 
     Both tables have `home_team` and `away_team`. With swap, right rows also come with their sides
-    exchanged. Equal pairs of names are compared once, however many rows have
+    exchanged. With both_least, what is accepted is a similarity of at least that on both sides, without guards. Equal pairs of names are compared once, however many rows have
     them. A block with more than slice_rows names is cut into slices, each
     with a copy of the other side. Null names and null `within` values meet nothing.
     """
@@ -40,7 +40,12 @@ def scored_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     a = a.join(hot, "_key", "left").withColumn("_s", F.pmod(F.xxhash64("h_l", "a_l"), F.coalesce("_n", F.lit(1)))).drop("_n")
     b = b.join(hot, "_key", "left").withColumn("_s", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1))).drop("_n", *within)
     pairs = a.join(b.withColumn("_s", F.col("_s").cast("bigint")), ["_key", "_s"]).select(*within, "h_l", "a_l", "h_r", "a_r").distinct()
-    pairs = pairs.withColumn("_c", compare_pairs("h_l", "a_l", "h_r", "a_r")).select(*within, "h_l", "a_l", "h_r", "a_r", F.col("_c.accepted").alias("accepted"), F.col("_c.score").alias("score"))
+    if both_least is None:
+        verdict = compare_pairs("h_l", "a_l", "h_r", "a_r")
+    else:
+        h, a = name_similarity("h_l", "h_r"), name_similarity("a_l", "a_r")
+        verdict = F.struct(((h >= both_least) & (a >= both_least)).alias("accepted"), ((h + a) / 2).alias("score"))
+    pairs = pairs.withColumn("_c", verdict).select(*within, "h_l", "a_l", "h_r", "a_r", F.col("_c.accepted").alias("accepted"), F.col("_c.score").alias("score"))
     out = pairs.join(left.select(left_id, *within, F.col("home_team").alias("h_l"), F.col("away_team").alias("a_l")), [*within, "h_l", "a_l"])
     return out.join(right.withColumnsRenamed({"home_team": "h_r", "away_team": "a_r"}), [*within, "h_r", "a_r"]).select(left_id, right_id, "accepted", "score", "swapped")
 

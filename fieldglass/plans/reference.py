@@ -352,7 +352,9 @@ def similarity_cases(spark, d):  # noqa: ANN001, ANN201
 def index_pages(spark, d):  # noqa: ANN001, ANN201
     links = table(spark, d, "fixture_links").filter("index_url is not null")
     url = F.col("index_url")
-    told = urls.outcome(url, "index-a.example", urls.family_a(url))
+    links = timestamps.bind(links, kind=urls.family_a(url))
+    links = timestamps.bind(links, told=urls.outcome(url, "index-a.example", F.col("kind")))
+    told = F.col("told")
     return links.select("link_row", told["family"].alias("family"), told["category"].alias("category"), urls.scope_label(url).alias("scope"))
 
 
@@ -438,3 +440,63 @@ def stored_crawl(spark, d):  # noqa: ANN001, ANN201
     order = s.groupBy("run").agg(F.min("url").alias("first"))
     links = s.join(order, "run").select(F.col("first").alias("url"), F.col("url").alias("target"))
     return crawl.crawl(links, order.select(F.col("first").alias("url")), max_depth=2)
+
+
+# Literal tables for the joins on names and the page layouts, and what must come out.
+_LEFT = [(1, "d", "u1", "FC Roma", "Lazio"), (2, "d", "u2", "Rosenborg", "Molde"), (3, "d", None, "Lazio", "Roma"), (4, "e", None, "Roma", "Lazio"), (5, "d", None, None, "Lazio"), (6, "d", "u9", "Nowhere", "Elsewhere"), (7, "d", "x", "West Ham", "Molde")]
+_RIGHT = [(10, "d", "u1", "Rome", "Lazio", 1), (11, "d", "y", "Roma", "Lazio", 2), (12, "d", "z", "Rosenborgs", "Molde", 3), (13, "d", None, "Nobody", None, 4), (14, "d", None, "West Ham United", "Molde", 5)]
+
+
+def _sides(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    return spark.createDataFrame(_LEFT, "l int, day string, url string, home_team string, away_team string"), spark.createDataFrame(_RIGHT, "r int, day string, url string, home_team string, away_team string, o int")
+
+
+def _values(rows: list[tuple], columns: str) -> str:
+    text = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows) + f") t({columns})"
+
+
+@query(_values([(1, 11, "exact"), (2, 12, "fuzzy"), (3, None, "unmatched_result"), (4, None, "unmatched_result"), (5, None, "unmatched_result"), (6, None, "unmatched_result"), (7, 14, "fuzzy")], "l, r, how"))
+def result_reconciliation(spark, d):  # noqa: ANN001, ANN201
+    return names.reconcile(*_sides(spark), "l", "r", ["day"], "o")
+
+
+@query(_values([(1, "ambiguous"), (2, "matched"), (3, "ambiguous"), (4, "none"), (5, "none"), (6, "none"), (7, "matched")], "l, status"))
+def permissive_match(spark, d):  # noqa: ANN001, ANN201
+    """Two right rows are Roma and Lazio, so row 1, and row 3 with its sides exchanged, are torn between them."""
+    return names.match_with_margin(*_sides(spark), "l", "r", ["day"], swap=True).select("l", "status")
+
+
+@query(_values([(1, 10, "exact"), (1, 11, "exact"), (2, 12, "fuzzy"), (3, None, "left_only"), (4, None, "left_only"), (5, None, "left_only"), (6, None, "left_only"), (7, 14, "fuzzy"), (None, 13, "right_only")], "l, r, join_status"))
+def research_join(spark, d):  # noqa: ANN001, ANN201
+    return names.outer_with_margin(*_sides(spark), "l", "r", ["day"])
+
+
+@query(_values([(1, 10, "url", "matched"), (2, None, None, "unresolved"), (3, None, None, "unresolved"), (4, None, None, "unresolved"), (5, None, None, "unresolved"), (6, None, None, "unresolved"), (7, 14, "similar", "matched")], "l, r, tier, status"))
+def cross_run_tiers(spark, d):  # noqa: ANN001, ANN201
+    """Equal URL, then day and both normal forms, then day and a similarity of 0.85 on both sides."""
+    left, right = _sides(spark)
+    a, b = names.with_forms(left), names.with_forms(right)
+    pair = F.when((F.col("_h") != "") & (F.col("_a") != ""), F.concat_ws("|", "day", "_h", "_a"))
+    similar = names.scored_pairs(left, right, "l", "r", ["day"], both_least=0.85).filter("accepted")
+    return joins.tiered_join(a, b, "l", "r", [("url", F.col("url"), F.col("url")), ("pair", pair, pair)], last=("similar", similar)).select("l", "r", "tier", "status")
+
+
+_PAGES = [
+    "<table id=btable><tr class=trow3><td><b>A - One</b></td></tr><tr class=trow8><td>19:30</td><td>X</td><td>-</td><td>Y</td><td><a href=p1>s</a></td></tr><tr class=trow8><td>FT</td><td>V</td><td></td><td>W</td><td></td></tr></table>",
+    "<table><tbody><tr><td>Thu 23 Jul 01:00</td><td></td><td>ECU</td><td>Manta</td><td>1:1</td><td>LDU</td><td><a href=pmatch.asp?x>d</a></td></tr></tbody></table>",
+    "Alpha Beta vs Gamma, Delta vs Epsilon and Al vs Bo", None,
+]
+
+
+@query(_values([(0, "A - One", "X", "Y", "pre-match", "p1"), (0, "A - One", "V", "W", "finished", ""), (1, "ECU", "Manta", "LDU", "1:1", "pmatch.asp?x"), (2, None, "Alpha Beta", "Gamma", None, None), (2, None, "Delta", "Epsilon", None, None)], "k, competition, home, away, status, href"))
+def page_fixtures(spark, d):  # noqa: ANN001, ANN201
+    """The fixtures of literal pages by the first layout that reads any: legacy, by time, named pairs."""
+    from fieldglass.sources import layouts, pages
+
+    p = pages.page_rows(spark.createDataFrame(list(enumerate(_PAGES)), "k bigint, html string"), "k", "html")
+    rows = pages.rows_of(p, "k")
+    timed = layouts.by_time_index(rows, "k").select("k", F.col("country").alias("competition"), "home", "away", F.col("score").alias("status"), "href")
+    named = p.select("k", F.explode(layouts.named_pairs(F.col("text"))).alias("x")).select("k", "x.home", "x.away")
+    legacy = layouts.legacy_index(rows, "k").select("k", "competition", "home", "away", "status", "href")
+    return layouts.first_layout(p, "k", [legacy, timed, named])
