@@ -9,7 +9,6 @@ from __future__ import annotations
 import base64
 import os
 import re
-import sys
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +35,8 @@ def _odd() -> frozenset[str]:
     """Characters the two regex engines class differently: numerals that are neither letters nor decimal digits, and separators that only one counts as space."""
     import unicodedata
 
-    return frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if "\x1c" <= c <= "\x1f" or (c.isalnum() and unicodedata.category(c) in ("No", "Nl")))
+    # beyond the second plane there are no numerals
+    return frozenset(c for c in map(chr, range(0x20000)) if "\x1c" <= c <= "\x1f" or (c.isalnum() and unicodedata.category(c) in ("No", "Nl")))
 
 
 class Counter:
@@ -65,16 +65,17 @@ class Counter:
             n = len(self.encoding.encode_ordinary(pretoken))
             if len(pretoken) > SHORT:
                 return n
-            if len(self.known) >= KEPT:
-                self.known.clear()
-            self.known[pretoken] = n
+            if len(self.known) < KEPT:
+                self.known[pretoken] = n
         return n
 
     def counts(self, pretokens: list[str]) -> np.ndarray:
         try:
             return np.fromiter(map(self.known.__getitem__, pretokens), dtype="int64", count=len(pretokens))
         except KeyError:
-            return np.fromiter(map(self.one, pretokens), dtype="int64", count=len(pretokens))
+            new = {p: self.one(p) for p in set(pretokens) if p not in self.known}  # long ones are not kept
+            known = self.known.get
+            return np.fromiter((known(p) or new[p] for p in pretokens), dtype="int64", count=len(pretokens))
 
     def count(self, text: str | None) -> int:
         if not text:
