@@ -89,9 +89,17 @@ def plus_minutes(at: Column, minutes: int) -> Column:
 
 
 def half_even(c: Column, digits: int) -> Column:
-    """Rounded to the nearest decimal of the number as it is stored in binary; exact ties, which only sums of powers of two have, go to the even digit."""
-    exact = F.format_string("%." + str(min(38 - 8, digits + 20)) + "f", c).cast(f"decimal(38,{min(30, digits + 20)})")
-    return F.bround(exact, digits).cast("double")
+    """Rounded to the nearest decimal of the number as it is stored in binary, exact ties to the even digit; by integer arithmetic on its mantissa. Up to six digits; what is no finite number stays."""
+    x = F.abs(c)
+    k = F.greatest(F.lit(0), F.lit(54) - F.floor(F.log2(x))).cast("int")  # x * 2^k is whole
+    whole = lambda bits: F.call_function("shiftleft", F.lit(1).cast("bigint"), bits).cast("decimal(19,0)")
+    low = F.least(k, F.lit(62))
+    unit = whole(low) * whole(F.least(k - low, F.lit(62)))
+    n = (x * F.pow(F.lit(2.0), k)).cast("bigint").cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(7,0)")
+    q, r = F.call_function("div", n, unit), n % unit
+    up = (r > unit - r) | ((r == unit - r) & (q % 2 == 1))
+    rounded = F.when(k > 120, 0.0).otherwise((q + up.cast("bigint")) / 10.0**digits)
+    return F.when((x > 0) & (x < 2.0**42), F.signum(c) * rounded).otherwise(c)
 
 
 def first_key(m: Column, default: str | None = None) -> Column:

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldglass.session import cut
+
 
 def _row_of(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
@@ -82,14 +84,38 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str
     return some.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
 
 
+def _sliced(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows cut into ranges of (keys, order), the range in `_p`: a key with very many rows fills several of them."""
+    return cut(df.repartitionByRange(*keys, *order).withColumn("_p", F.spark_partition_id()))
+
+
 def fill_forward(df: DataFrame, keys: list[str], order: list[str], column: str, out: str) -> DataFrame:
-    """The last non-null value up to each row."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.last(column, ignorenulls=True).over(w))
+    """The last non-null value up to each row. Null keys form one group.
+
+    Rows are filled within ranges of (keys, order); what a range inherits from
+    those before it comes from a table of one row per range and key.
+    """
+    rows = _sliced(df, keys, order)
+    w = Window.partitionBy("_p", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("v")))
+    ends = rows.groupBy(*keys, "_p").agg(F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_had", F.last("_end", ignorenulls=True).over(before)).filter("_had is not null").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_p").alias("_q"), "_had")
+    same = (F.col("_p") == F.col("_q")) & reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    filled = rows.withColumn("_own", F.last(column, ignorenulls=True).over(w)).join(carried, same, "left")
+    return filled.select(*df.columns, F.coalesce("_own", F.col("_had.v")).alias(out))
 
 
 def pair_rows(df: DataFrame, keys: list[str], order: list[str], opens: Column, closes: Column, columns: list[str], prefix: str = "next_") -> DataFrame:
-    """Rows where `opens` holds, joined with the row right after them if `closes` holds there, else nulls."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    df = df.withColumn("_closes", F.coalesce(F.lead(closes).over(w), F.lit(False)))
-    return df.withColumns({f"{prefix}{c}": F.when(F.col("_closes"), F.lead(c).over(w)) for c in columns}).filter(opens).drop("_closes")
+    """Rows where `opens` holds, joined with the row right after them if `closes` holds there, else nulls.
+
+    The row after the last of a range of (keys, order) is the first of the
+    key's next range, from a table of one row per range and key.
+    """
+    rows = _sliced(df.withColumn("_next", F.struct(F.coalesce(closes, F.lit(False)).alias("closes"), *columns)), keys, order)
+    w = Window.partitionBy("_p", *keys).orderBy(*order)
+    firsts = rows.groupBy(*keys, "_p").agg(F.min_by("_next", F.struct(*order)).alias("_first"))
+    follow = firsts.withColumn("_after", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_p"))).filter("_after is not null").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_p").alias("_q"), "_after")
+    same = (F.col("_p") == F.col("_q")) & reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    paired = rows.withColumn("_own", F.lead("_next").over(w)).filter(opens).join(follow, same, "left").withColumn("_n", F.coalesce("_own", "_after"))
+    return paired.select(*df.columns, *[F.when(F.col("_n.closes"), F.col(f"_n.{c}")).alias(f"{prefix}{c}") for c in columns])
