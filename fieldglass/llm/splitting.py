@@ -117,8 +117,8 @@ def solve(ends: list[np.ndarray], starts: list[np.ndarray], costs: list[np.ndarr
     """
     out: list[list[int]] = [[] for _ in ends]
     order = sorted(range(len(ends)), key=lambda i: len(ends[i]))
-    for lo in range(0, len(order), 256):
-        group = order[lo : lo + 256]
+    for lo in range(0, len(order), 96):
+        group = order[lo : lo + 96]
         n, width = len(group), len(ends[group[-1]])
         e, s = np.full((n, width), 1 << 30, dtype="int32"), np.zeros((n, width), dtype="int32")
         c, total = np.zeros((n, width)), np.zeros(n)
