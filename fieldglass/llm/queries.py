@@ -199,6 +199,30 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split(table(spark, d, "documents"), limits_of(spark, d, "split"))
 
 
+def p2_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Ids linked more than once, pairs that are not of one id of each source, and confidences outside 0.5 to 1; there must be none."""
+    links = cut(p2_links(spark, d))
+    matches = table(spark, d, "matches").select(uuid_hex(F.col("match_id")).alias("id"), F.element_at(F.map_keys("source_urls"), 1).alias("source")).dropna().distinct()
+    each = links.select(F.col("a").alias("id"), F.lit("soccerstats").alias("side"), "confidence").unionByName(links.select(F.col("b").alias("id"), F.lit("forebet").alias("side"), "confidence"))
+    stray = each.join(matches, (each.id == matches.id) & (each.side == matches.source), "left_anti")
+    repeated = each.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return count(repeated, "n_repeated").crossJoin(count(stray, "n_stray")).crossJoin(count(links.filter("confidence < 0.5 or confidence > 1"), "n_unsure"))
+
+
+def p7_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs out of order, pairs of names that are not in the table, and classes that lack a pair of two of their names; there must be none."""
+    pairs = cut(p7_found(spark, d))
+    names = table(spark, d, "matches").select("country", F.explode(F.array("home_team", "away_team")).alias("name")).dropna().distinct()
+    ends = pairs.select("country", F.col("name_a").alias("name")).unionByName(pairs.select("country", F.col("name_b").alias("name")))
+    both = pairs.select("country", F.col("name_a").alias("x"), F.col("name_b").alias("y")).unionByName(pairs.select("country", F.col("name_b").alias("x"), F.col("name_a").alias("y")))
+    # in a closed class every name has the same set of names, itself included
+    sets = both.groupBy("country", "x").agg(F.bit_xor(F.xxhash64("y")).alias("h")).select("country", "x", F.col("h").bitwiseXOR(F.xxhash64("x")).alias("h"))
+    open_ = both.join(sets, ["country", "x"]).join(sets.select("country", F.col("x").alias("y"), F.col("h").alias("h2")), ["country", "y"]).filter("h <> h2")
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return count(pairs.filter("name_a >= name_b"), "n_disordered").crossJoin(count(ends.join(names, ["country", "name"], "left_anti"), "n_unknown")).crossJoin(count(open_, "n_open"))
+
+
 def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
     """By capacity: the documents packed, containers over it, and documents split that would fit; the last two must be none."""
     packed = cut(p8_containers(spark, d))
@@ -221,7 +245,7 @@ def p10_invariants(spark: SparkSession, d: str) -> DataFrame:
     return limits.join(every, "limit_id", "left").groupBy("limit_id").agg(F.count_if(F.col("tokens") > F.col("max_tokens")).alias("n_over"), F.count_if("open").alias("n_open"), F.count_if("wrong").alias("n_wrong"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p5_found": p5_found, "p5_golden": p5_golden, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_invariants": p8_invariants, "p9_found": p9_found, "p10_pieces": p10_pieces, "p10_invariants": p10_invariants}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_confidence": p2_confidence, "p2_invariants": p2_invariants, "p5_found": p5_found, "p5_golden": p5_golden, "p7_found": p7_found, "p7_invariants": p7_invariants, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_invariants": p8_invariants, "p9_found": p9_found, "p10_pieces": p10_pieces, "p10_invariants": p10_invariants}
 _HEX = "regexp_extract(lower(regexp_replace(match_id, '^[\\s{}]+|[\\s{}]+$|-', '', 'g')), '^[0-9a-f]{32}$')"
 _FEATURES = f"""
 f AS (SELECT *, {_HEX} AS id, regexp_replace(lower(trim(feature_scope)), '[\\s\\-_]+', '_', 'g') AS scope,
@@ -240,6 +264,8 @@ won AS (SELECT id, scope, field, arg_max(v, (votes, best)) AS v FROM per GROUP B
 n AS (SELECT id, scope, count(*) AS n_rows FROM g GROUP BY ALL)"""
 _TEXT_ID = "regexp_replace(id, '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5')"
 SQL: dict[str, str] = {
+    "p2_invariants": "SELECT 0 AS n_repeated, 0 AS n_stray, 0 AS n_unsure",
+    "p7_invariants": "SELECT 0 AS n_disordered, 0 AS n_unknown, 0 AS n_open",
     "p8_invariants": "SELECT limit_id, (SELECT count(*) FROM documents) AS n_documents, 0 AS n_overfull, 0 AS n_split_small FROM size_limits WHERE purpose = 'pack'",
     "p10_invariants": "SELECT limit_id, 0 AS n_over, 0 AS n_open, 0 AS n_wrong FROM size_limits WHERE purpose = 'split'",
     "p5_found": f"""
