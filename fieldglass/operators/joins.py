@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +34,43 @@ def margin_match(scored: DataFrame, left_id: str, right_id: str, score: str, *,
     return out.withColumn("status", status).drop("_next")
 
 
+def nearest_match(rows: DataFrame, row_id: str, keys: list[str], value: str, out: str, *, most: float, margin: float) -> DataFrame:
+    """For each row the row of equal keys nearest in value: row_id, `out` (its id), `gap` and `status`, which is matched, ambiguous (the second nearest is less than the margin further) or below (the gap exceeds `most`).
+
+    The answer of margin_match over all pairs of rows of equal keys, without the
+    pairs: the rows of a value are its three least ids, and each value meets the
+    two values on either side in the order of values. Where rounding or values
+    that are no finite number leave the order of gaps open beyond these, the
+    value meets all others of its keys. Equal gaps go to the smaller id, gaps of
+    NaN and then of null come last; rows alone with their keys, and null keys,
+    have no match. Ids must be unique.
+    """
+    own = rows.select(F.col(row_id).alias("_id"), *keys, F.col(value).alias("_v")).filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys], F.col("_id").isNotNull()))
+    levels = own.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_v").orderBy("_id"))).filter("_n <= 3").groupBy(*keys, "_v").agg(F.array_sort(F.collect_list("_id")).alias("_ids"))
+
+    def gap(level: Column) -> Column:
+        d = F.abs(F.col("_v") - level["_v"])
+        return F.struct(d.isNull().alias("none"), d.alias("gap"))
+
+    def candidates(level: Column) -> Column:
+        g = gap(level)
+        return F.when(level.isNotNull(), F.transform(level["_ids"], lambda i: F.struct(g["none"].alias("none"), g["gap"].alias("gap"), i.alias("id"))))
+
+    w = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_last())
+    level = F.struct("_v", "_ids")
+    near = levels.withColumn("_0", level).withColumns({f"_{side.__name__}{i}": side(level, i).over(w) for side in (F.lag, F.lead) for i in (1, 2, 3)})
+    near = near.withColumn("_open", reduce(lambda a, b: a | b, [F.coalesce(gap(F.col(f"_{s}3")) <= gap(F.col(f"_{s}1")), F.lit(False)) & F.col(f"_{s}3").isNotNull() for s in ("lag", "lead")]))
+    close = F.flatten(F.filter(F.array(*[candidates(F.col(c)) for c in ("_0", "_lag1", "_lag2", "_lead1", "_lead2")]), lambda c: c.isNotNull()))
+    some = near.filter("not _open").select(*keys, "_v", F.slice(F.array_sort(close), 1, 3).alias("_c"))
+    wide = near.filter("_open").select(*keys, "_v").join(levels.select(*keys, level.alias("_other")), keys).select(*keys, "_v", F.explode(candidates(F.col("_other"))).alias("_c"))
+    wide = wide.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_v").orderBy("_c"))).filter("_n <= 3").groupBy(*keys, "_v").agg(F.array_sort(F.collect_list("_c")).alias("_c"))
+    found = some.unionByName(wide).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_v").alias("_w"), "_c")
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)], F.col("_v").eqNullSafe(F.col("_w")))
+    others = own.join(found, same).select("_id", F.filter("_c", lambda c: c["id"] != F.col("_id")).alias("_c")).select("_id", F.get("_c", F.lit(0)).alias("_one"), F.get("_c", F.lit(1))["gap"].alias("_next")).filter("_one is not null")
+    status = F.when(F.col("_one.gap") > most, "below").when(F.col("_next") - F.col("_one.gap") < margin, "ambiguous").otherwise("matched")
+    return others.select(F.col("_id").alias(row_id), F.col("_one.id").alias(out), F.col("_one.gap").alias("gap"), status.alias("status"))
+
+
 def lookup(left: DataFrame, right: DataFrame, key: str, defaults: dict[str, object]) -> DataFrame:
     """Left join to a dimension with unique keys; missing attributes get their default."""
     joined = left.join(right.select(key, *defaults), key, "left")

@@ -204,10 +204,8 @@ def or_join_collect(spark, d):  # noqa: ANN001, ANN201
 r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY gap, b) AS n, lead(gap) OVER (PARTITION BY a ORDER BY gap, b) AS nxt FROM s)
 SELECT a, b, gap, CASE WHEN gap > 50 THEN 'below' WHEN nxt - gap < 5 THEN 'ambiguous' ELSE 'matched' END AS status FROM r WHERE n = 1""")
 def margin_topk(spark, d):  # noqa: ANN001, ANN201
-    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
-    q = p.select(F.col("p_partkey").alias("b"), "p_brand", "p_type", F.col("p_retailprice").alias("q"))
-    scored = p.join(q, ["p_brand", "p_type"]).filter("p_partkey <> b").select(F.col("p_partkey").alias("a"), "b", (-F.abs(F.col("p_retailprice") - F.col("q"))).alias("score"))
-    return joins.margin_match(scored, "a", "b", "score", least=-50.0, margin=5.0).select("a", "b", F.abs("score").alias("gap"), "status")
+    out = joins.nearest_match(table(spark, d, "part"), "p_partkey", ["p_brand", "p_type"], "p_retailprice", "b", most=50.0, margin=5.0)
+    return out.select(F.col("p_partkey").alias("a"), "b", "gap", "status")
 
 
 @query("SELECT l_returnflag, sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS open, sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS full FROM lineitem GROUP BY 1")
