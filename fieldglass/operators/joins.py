@@ -84,17 +84,26 @@ def tiered_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     or equal tier had several, the row is ambiguous; without any match it is
     unresolved. `last` is a further tier given as its (left_id, right_id) pairs,
     such as those of similar names. Gives left_id, right_id, tier, status, n_candidates (over all tiers tried).
+
+    Right rows are counted by key before they meet the left, so a key shared by
+    many rows of both sides makes no pairs; only left ids with several keys in a
+    tier meet each right row of these, as a right id counts once.
     """
     found = None
-    for n, (name, a, b) in enumerate(tiers):
-        pairs = left.select(left_id, a.alias("_k")).join(right.select(right_id, b.alias("_k")), "_k").select(left_id, right_id, F.lit(n).alias("_t"), F.lit(name).alias("tier"))
-        found = pairs if found is None else found.unionByName(pairs)
+    counts = [F.count_distinct(right_id).alias("_n"), F.min(right_id).alias(right_id)]
+    each = left.filter(F.col(left_id).isNotNull()).groupBy(left_id).agg(*[F.collect_set(a).alias(f"_k{n}") for n, (_, a, _) in enumerate(tiers)]) if tiers else None
+    for n, (name, _, b) in enumerate(tiers):
+        keyed = right.select(right_id, b.alias("_k")).filter(F.col(right_id).isNotNull() & F.col("_k").isNotNull())
+        keys = F.col(f"_k{n}")
+        one = each.filter(F.size(keys) == 1).select(left_id, F.explode(keys).alias("_k")).join(keyed.groupBy("_k").agg(*counts), "_k")
+        several = each.filter(F.size(keys) > 1).select(left_id, F.explode(keys).alias("_k")).join(keyed, "_k").groupBy(left_id).agg(*counts)
+        part = one.select(left_id, "_n", right_id).unionByName(several).withColumns({"_t": F.lit(n), "tier": F.lit(name)})
+        found = part if found is None else found.unionByName(part)
     if last is not None:
-        pairs = last[1].select(left_id, right_id, F.lit(len(tiers)).alias("_t"), F.lit(last[0]).alias("tier"))
-        found = pairs if found is None else found.unionByName(pairs)
-    by_tier = found.groupBy(left_id, "_t", "tier").agg(F.count_distinct(right_id).alias("_n"), F.min(right_id).alias(right_id))
+        part = last[1].groupBy(left_id).agg(*counts).withColumns({"_t": F.lit(len(tiers)), "tier": F.lit(last[0])})
+        found = part if found is None else found.unionByName(part)
     single = F.when(F.col("_n") == 1, F.col("_t"))
-    per = by_tier.groupBy(left_id).agg(F.min_by(right_id, single).alias(right_id), F.min_by("tier", single).alias("tier"), F.min(single).alias("_one"), F.min(F.when(F.col("_n") > 1, F.col("_t"))).alias("_many"), F.sum("_n").alias("n_candidates"))
+    per = found.groupBy(left_id).agg(F.min_by(right_id, single).alias(right_id), F.min_by("tier", single).alias("tier"), F.min(single).alias("_one"), F.min(F.when(F.col("_n") > 1, F.col("_t"))).alias("_many"), F.sum("_n").alias("n_candidates"))
     clash = F.col("_many").isNotNull() & (F.col("_one").isNull() | (F.col("_many") < F.col("_one")))
     out = left.select(left_id).join(per, left_id, "left")
     return out.select(left_id, F.when(~F.coalesce(clash, F.lit(False)), F.col(right_id)).alias(right_id), F.when(~F.coalesce(clash, F.lit(False)), F.col("tier")).alias("tier"), F.when(clash, "ambiguous").when(F.col("_one").isNotNull(), "matched").otherwise("unresolved").alias("status"), F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"))

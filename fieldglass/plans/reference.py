@@ -174,7 +174,7 @@ FROM p LEFT JOIN b ON b.pre = p.link_row"""
 def tiered_join(spark, d):  # noqa: ANN001, ANN201
     links = table(spark, d, "fixture_links")
     pre, res = links.filter("lifecycle_state = 'scheduled'").withColumnRenamed("link_row", "pre"), links.filter("lifecycle_state = 'finished'").withColumnRenamed("link_row", "res")
-    pair = F.concat_ws("|", F.lower("home_team"), F.lower("away_team"))
+    pair = F.concat(F.lower("home_team"), F.lit("|"), F.lower("away_team"))
     return joins.tiered_join(pre, res, "pre", "res", [("detail", F.col("detail_url"), F.col("detail_url")), ("pair", pair, pair)])
 
 

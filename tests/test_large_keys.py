@@ -3,6 +3,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from fieldglass.operators import joins
 from fieldglass.plans import reference
 
@@ -54,3 +56,34 @@ def test_margin_topk_makes_no_pairs_of_a_large_group(spark, tmp_path):
     spark.createDataFrame(rows, "p_partkey bigint, p_brand string, p_type string, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
     got, most = most_rows(reference.margin_topk(spark, str(tmp_path)))
     assert {x.gap for x in got} == {0.25} and len(got) == n and most < 20 * n
+
+
+def tiered(left, right, tiers):
+    """Plain version over all pairs: (left id, right id, tier, status, candidates) of each left row."""
+    out = []
+    for a, *_ in left:
+        per = [{b for i, *ks in left for b, *js in right if a is not None and i == a and ks[t] is not None and ks[t] == js[t]} - {None} for t in range(tiers)]
+        one = next((t for t in range(tiers) if len(per[t]) == 1), None)
+        many = next((t for t in range(tiers) if len(per[t]) > 1), None)
+        clash = many is not None and (one is None or many < one)
+        hit = not clash and one is not None
+        out.append((a, min(per[one]) if hit else None, f"t{one}" if hit else None, "ambiguous" if clash else "matched" if hit else "unresolved", sum(map(len, per))))
+    return sorted(out, key=repr)
+
+
+def test_tiered_join_counts_each_right_id_once(spark):
+    r = random.Random(8)
+    rows = lambda n, ids: [(r.choice([None, *range(ids)]), r.choice([None, *"abcdef"]), r.choice([None, *"uvwxyz", *"123456789"])) for _ in range(n)]
+    for left, right in ((rows(60, 40), rows(12, 9)), (rows(30, 9), rows(30, 9)), ([(i, "a", str(i)) for i in range(9)], [(i, "abc"[i % 3], str(i)) for i in range(7)])):
+        a, b = spark.createDataFrame(left, "a bigint, x string, y string"), spark.createDataFrame(right, "b bigint, x string, y string")
+        got = joins.tiered_join(a, b, "a", "b", [("t0", F.col("x"), F.col("x")), ("t1", F.col("y"), F.col("y"))]).collect()
+        assert sorted(map(tuple, got), key=repr) == tiered(left, right, 2)
+
+
+def test_tiered_join_makes_no_pairs_of_a_large_key(spark, tmp_path):
+    n = 1000
+    rows = [(i, s, "", f"H{i % 5}", None if i % 5 == 4 else "A") for i, s in enumerate(["scheduled"] * n + ["finished"] * n)] + [(2 * n, "scheduled", "d", "h4", None), (2 * n + 1, "scheduled", "e", "H9", "A")]
+    spark.createDataFrame(rows, "link_row bigint, lifecycle_state string, detail_url string, home_team string, away_team string").write.parquet(str(tmp_path / "fixture_links.parquet"))
+    got, most = most_rows(reference.tiered_join(spark, str(tmp_path)))
+    want = {(i, None, None, "ambiguous", n + (0 if i % 5 == 4 else n // 5)) for i in range(n)} | {(i, None, None, "unresolved", 0) for i in (2 * n, 2 * n + 1)}
+    assert {tuple(x) for x in got} == want and len(got) == n + 2 and most < 20 * n
